@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.leaks import leak_report, leaked_items
+from tidemark.llm.looks import consistent_text, look_alikes
+from tidemark.llm.mixing import mixed_records, reached_shares
 from tidemark.llm.pages import main_body_lines, template_residue
 from tidemark.llm.repeated import repeated_lines, without_repeated
 from tidemark.session import table
@@ -25,7 +28,31 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return template_residue(table(spark, sf_dir, "articles"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p6_found, p6_rebuilt, p7_found)}
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leak_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed_records(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reached_shares(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return look_alikes(table(spark, sf_dir, "documents"))
+
+
+def p10_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return consistent_text(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p6_found, p6_rebuilt, p7_found, p8_found, p8_report, p9_mix, p9_shares, p10_found, p10_texts)}
 
 _P6_LINES = r"""
 pages AS (SELECT article_id, source, content FROM articles WHERE source IS NOT NULL),
