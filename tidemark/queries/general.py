@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.operators.amounts import usd_amounts
 from tidemark.operators.instants import utc_instants
 from tidemark.session import table
 
@@ -12,5 +13,9 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return utc_instants(table(spark, sf_dir, "articles"), table(spark, sf_dir, "sites"))
 
 
-QUERIES = {f.__name__: f for f in (p4_found,)}
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return usd_amounts(table(spark, sf_dir, "raw_extractions"), table(spark, sf_dir, "fx_rates"))
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p5_found)}
 SQL: dict[str, str] = {}
