@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.leaks import leak_report, leaked_items
 from tidemark.llm.looks import consistent_text, look_alikes
 from tidemark.llm.mixing import mixed_records, reached_shares
+from tidemark.llm.names import organisations, variant_pairs
 from tidemark.llm.pages import main_body_lines, template_residue
 from tidemark.llm.repeated import repeated_lines, without_repeated
 from tidemark.session import table
@@ -16,6 +17,14 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_body_lines(table(spark, sf_dir, "articles"))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variant_pairs(table(spark, sf_dir, "deals"), table(spark, sf_dir, "aliases"))
+
+
+def p3_organisations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return organisations(table(spark, sf_dir, "deals"), table(spark, sf_dir, "aliases"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_lines(table(spark, sf_dir, "articles"))
 
@@ -52,7 +61,7 @@ def p10_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consistent_text(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p6_found, p6_rebuilt, p7_found, p8_found, p8_report, p9_mix, p9_shares, p10_found, p10_texts)}
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_organisations, p6_found, p6_rebuilt, p7_found, p8_found, p8_report, p9_mix, p9_shares, p10_found, p10_texts)}
 
 _P6_LINES = r"""
 pages AS (SELECT article_id, source, content FROM articles WHERE source IS NOT NULL),
