@@ -8,11 +8,16 @@ from tidemark.llm.leaks import leak_report, leaked_items
 from tidemark.llm.looks import consistent_text, look_alikes
 from tidemark.llm.mixing import mixed_records, reached_shares
 from tidemark.llm.names import organisations, variant_pairs
+from tidemark.llm.near import near_copies
 from tidemark.llm.pages import main_body_lines, template_residue
 from tidemark.llm.repeated import repeated_lines, without_repeated
 from tidemark.session import table
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(table(spark, sf_dir, "articles"))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_body_lines(table(spark, sf_dir, "articles"))
 
@@ -61,7 +66,7 @@ def p10_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consistent_text(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_organisations, p6_found, p6_rebuilt, p7_found, p8_found, p8_report, p9_mix, p9_shares, p10_found, p10_texts)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_organisations, p6_found, p6_rebuilt, p7_found, p8_found, p8_report, p9_mix, p9_shares, p10_found, p10_texts)}
 
 _P6_LINES = r"""
 pages AS (SELECT article_id, source, content FROM articles WHERE source IS NOT NULL),
