@@ -119,7 +119,7 @@ def features(texts: list[str], titles: list[str]) -> tuple[np.ndarray, np.ndarra
     n = len(texts)
     rows.append(np.arange(n))
     cols.append(np.array([(1 << BITS) + min(15, len(t).bit_length()) for t in texts], np.uint64))
-    return np.concatenate(rows).astype(np.int64), np.concatenate(cols).astype(np.int64)
+    return np.concatenate(rows), np.concatenate(cols).view(np.int64)
 
 
 class Linear:
@@ -212,10 +212,12 @@ def score_values(pdf: pd.DataFrame, won: Winners, models: tuple[Linear, Linear])
         at = [i for i, f in enumerate(fields) if f == field]
         if not at:
             continue
-        p = model.score(*features([texts[i] for i in at], [titles[i] for i in at]), len(at))
-        for i in np.flatnonzero(p > model.likely):
-            k = at[i]
-            case[k] = verified(field, texts[k], lines[k])
+        for i in range(0, len(at), 512):
+            some = at[i : i + 512]
+            p = model.score(*features([texts[k] for k in some], [titles[k] for k in some]), len(some))
+            for j in np.flatnonzero(p > model.likely):
+                k = some[j]
+                case[k] = verified(field, texts[k], lines[k])
     return ids, fields, case, lines
 
 
