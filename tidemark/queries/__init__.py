@@ -1,6 +1,6 @@
 """Queries of the core by name, and the SQL of those that SQL can express."""
 
-from tidemark.queries import general
+from tidemark.queries import catalog, general
 
-QUERIES = dict(general.QUERIES)
-SQL = dict(general.SQL)
+QUERIES = catalog.QUERIES | general.QUERIES
+SQL = catalog.SQL | general.SQL
