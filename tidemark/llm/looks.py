@@ -99,9 +99,11 @@ def one_form(texts: list[str]) -> list[str]:
         ccc = marks[out]
         if not ccc.any():
             break
-        swap = (ccc[1:] > 0) & (ccc[:-1] > ccc[1:])
+        swap = (ccc[1:] > 0) & (ccc[:-1] > ccc[1:]) & (owner[1:] == owner[:-1])
         if swap.any():
-            order = np.lexsort((np.arange(len(out)), ccc, np.cumsum(ccc == 0)))
+            start = ccc == 0
+            start[1:] |= owner[1:] != owner[:-1]
+            order = np.lexsort((np.arange(len(out)), ccc, np.cumsum(start)))
             out, owner = out[order], owner[order]
             ccc = marks[out]
         second = np.flatnonzero((ccc[1:] > 0) & (owner[1:] == owner[:-1])) + 1

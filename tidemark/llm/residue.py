@@ -230,6 +230,6 @@ def residue_values(articles: DataFrame) -> DataFrame:
         for pdf in batches:
             ids, fields, case, _ = score_values(pdf, won, models)
             at = np.flatnonzero(case)
-            yield pd.DataFrame({"article_id": [ids[i] for i in at], "field_name": [fields[i] for i in at]})
+            yield pd.DataFrame([(ids[i], fields[i]) for i in at], columns=["article_id", "field_name"])
 
     return pages_with_paths(articles, each).mapInPandas(run, "article_id bigint, field_name string")
