@@ -118,6 +118,12 @@ def nearest(word: str) -> Unit | None:
     return known[best[1]] if best[0] <= allowed else None
 
 
+def near_phrase(text: str) -> bool:
+    """Is the text one edit from a phrase of as many words?"""
+    n = text.count(" ")
+    return any(name.count(" ") == n and abs(len(name) - len(text)) < 3 and distance(text, name) <= 1 for name in vocabulary() if " " in name)
+
+
 _PART = re.compile(r"[^\W\d_]+(?:\.[^\W\d_]+)*[$€£¥]|[^\W\d_]+(?:\.[^\W\d_]+)*\.?|[^\w\s]", re.U)
 
 
@@ -129,7 +135,7 @@ def resolve(spelling: str, prefix: bool = False) -> Unit | None:
         unit, taken = None, 0
         for n in (3, 2, 1):
             text = " ".join(parts[i : i + n])
-            if i + n <= len(parts) and (text in vocabulary() or n == 1):
+            if i + n <= len(parts) and (text in vocabulary() or n == 1 or near_phrase(text)):
                 unit, taken = nearest(text) or nearest(text.rstrip(".")), n
                 if unit:
                     break

@@ -46,8 +46,8 @@ def site_allows(rows: DataFrame, rules: DataFrame, site: str = "source", url: st
     one = rules.groupBy("site").agg(*(F.array_join(F.collect_set(F.when(F.col("kind") == k, F.concat(F.lit("(?:"), "pattern", F.lit(")")))), "|").alias(k) for k in ("block", "allow")))
     j = rows.join(one, F.col(site) == F.col("site"), "left")
     blocked = (F.coalesce("block", F.lit("")) != "") & F.expr(f"{url} rlike block")
-    allowed = (F.coalesce("allow", F.lit("")) == "") | F.expr(f"{url} rlike allow")
-    return j.where(~F.coalesce(blocked, F.lit(False)) & F.coalesce(allowed, F.lit(True))).select(*[rows[c] for c in rows.columns])
+    allowed = (F.coalesce("allow", F.lit("")) == "") | F.coalesce(F.expr(f"{url} rlike allow"), F.lit(False))
+    return j.where(~F.coalesce(blocked, F.lit(False)) & allowed).select(*[rows[c] for c in rows.columns])
 
 
 def archive_year(url: Column) -> Column:

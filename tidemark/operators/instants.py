@@ -213,7 +213,7 @@ def utc_instants(articles: DataFrame, sites: DataFrame, fields: tuple[str, ...]
         for pdf in batches:
             for field in fields:
                 t, ok = to_utc_seconds(pdf[field], pdf["tz"], pdf["month_first"])
-                text = np.datetime_as_string(t[ok].astype("datetime64[s]"), unit="s")
-                yield pd.DataFrame({"article_id": pdf["article_id"].to_numpy()[ok], "field_name": field, "utc_time": [f"{x}Z" for x in text]})
+                text = [f"{x}Z" for x in np.datetime_as_string(t[ok].astype("datetime64[s]"), unit="s")]
+                yield pd.DataFrame({"article_id": pdf["article_id"].to_numpy()[ok], "field_name": np.full(len(text), field, object), "utc_time": np.array(text, object)})
 
     return rows.mapInPandas(convert, "article_id bigint, field_name string, utc_time string")
