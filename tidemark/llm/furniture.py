@@ -62,12 +62,12 @@ def _votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 got = cache.get((key, line))
                 if got is None:
                     p = path_of(line, names)
-                    got = (digest(p), p, headline_like(line))
+                    got = (digest(p), p, headline_like(line) and not is_form(p))
                     if len(cache) > 200_000:
                         cache.clear()
                     cache[key, line] = got
                 d, p, headline = got
-                if before is not None and headline and p != own:
+                if before is not None and headline and not same_story(p, own):
                     follows[h, before] += 1
                 before = None
                 if d not in seen:
@@ -78,6 +78,16 @@ def _votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"host": [k[0] for k in keys], "path": [k[1] for k in keys], "n": [n[k] for k in keys], "follows": [follows.get(k, 0) for k in keys]})
 
 
+def same_story(path: str, own: str | None) -> bool:
+    """Is a headline the page's own, as its title has it or with a few words changed?"""
+    if not own:
+        return False
+    if path == own or path in own or own in path:
+        return True
+    a, b = set(path.split()), set(own.split())
+    return len(a & b) * 10 >= 6 * max(len(a), len(b))
+
+
 def wilson_low(n: F.Column, total: F.Column, z: float = 1.96) -> F.Column:
     p = n / total
     return (p + z * z / (2 * total) - z * F.sqrt((p * (1 - p) + z * z / (4 * total)) / total)) / (1 + z * z / total)
@@ -134,7 +144,7 @@ class Winners:
             if (form or known or d in won) and p != own:
                 out.append(True)
                 listing = (listing or won.get(d, False) or everywhere.get(d, False) or p in _HEADS) if not p.startswith(_TEASERS) else listing
-            elif listing and headline:
+            elif listing and headline and not same_story(p, own):
                 out.append(True)
             else:
                 out.append(False)

@@ -56,6 +56,16 @@ _FORMS = re.compile(
 )
 
 
+#: Words of navigation rows. Fixed values.
+_NAV = frozenset("home start news deals data pipeline podcasts webinars jobs events opinion subscribe log in sign up about us contact search menu topics newsletters login register account more help faq".split())
+_ROW = re.compile(r"[^\W\d_][^\W\d_' ]*(?: [^\W\d_]+){0,2}(?: ?[|·/•] ?[^\W\d_][^\W\d_' ]*(?: [^\W\d_]+){0,2}){3,}")
+
+
+def is_navigation(path: str) -> bool:
+    """A row of four or more short labels between separators, or navigation words only."""
+    return _ROW.fullmatch(path) is not None or all(w in _NAV for w in re.split(r"[ |·/•]+", path))
+
+
 def site_names(source: str | None, host: str) -> list[str]:
     """Lower-cased spellings of a site's own name: the source and the host's main label."""
     out = []
@@ -84,7 +94,7 @@ def digest(path: str) -> int:
 
 def is_form(path: str) -> bool:
     """Is the path furniture by its own form, whatever the host's votes?"""
-    return _FORMS.fullmatch(path) is not None or path == "{s}"
+    return _FORMS.fullmatch(path) is not None or path == "{s}" or is_navigation(path)
 
 
 def headline_like(line: str) -> bool:
