@@ -202,3 +202,27 @@ def test_workbook_opens(spark, sf, tmp_path):
     import json
 
     assert len(lines) == deals.count() and len(json.loads(lines[0])) == 12
+
+
+def test_pages(spark):
+    from tidemark.sources.pages import StoredPages, articles_of, fetched
+
+    urls = spark.createDataFrame([("https://a/1", "t", "2024-01-01", "RSS"), ("https://a/2", "t", None, "RSS"), ("https://b/3", "t", "2020-01-01", "RSS"), ("https://b/4", "t", "2024-01-01", "RSS")], "url string, title string, published_date string, source string")
+    pages = fetched(urls, StoredPages({"https://a/1": "<p>" + "word " * 200 + "</p>", "https://a/2": "Cloudflare Ray ID: 1", "https://b/3": "<p>" + "x " * 400}))
+    assert {r.url: r.html is None for r in pages.collect()} == {"https://a/1": False, "https://a/2": False, "https://b/3": False, "https://b/4": True}
+    assert [r.url for r in articles_of(pages, "2022-01-01", "2024-12-31").collect()] == ["https://a/1"]
+
+
+def test_command_line(spark, tmp_path):
+    from tidemark.__main__ import main
+
+    articles(spark).withColumns({"fetched_at": F.lit(""), "lastmod": F.lit("")}).write.parquet(str(tmp_path / "a"))
+    main(["embed", "--articles", str(tmp_path / "a"), "--out", str(tmp_path / "b"), "--vectors", str(tmp_path / "v")], spark)
+    assert spark.read.parquet(str(tmp_path / "b")).where("embedding_status = 'embedded'").count() == 4
+    (tmp_path / "c.json").write_text('{"topic": "oncology", "start": "2021-01-01", "end": "2023-01-01", "least_similarity": 0.0}')
+    main(["run", "--config", str(tmp_path / "c.json"), "--articles", str(tmp_path / "b"), "--vectors", str(tmp_path / "v"), "--stages", str(tmp_path / "s"), "--sheets", str(tmp_path / "x")], spark)
+    spark.createDataFrame([("https://a.org/1", "t", "d", "RSS"), ("https://new", "t", "d", "RSS"), ("https://new", "", "d", "Sitemap")], "url string, title string, published_date string, source string").write.parquet(str(tmp_path / "d"))
+    main(["update", "--articles", str(tmp_path / "b"), "--discovered", str(tmp_path / "d"), "--out", str(tmp_path / "n")], spark)
+    assert spark.read.parquet(str(tmp_path / "n")).count() == 6
+    main(["reset", "--articles", str(tmp_path / "b"), "--out", str(tmp_path / "r"), "--vectors", str(tmp_path / "v"), "--yes"], spark)
+    assert spark.read.parquet(str(tmp_path / "r")).where("embedding_status = 'pending'").count() == 5
