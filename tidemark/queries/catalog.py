@@ -277,20 +277,20 @@ def longest_copy(t):
     return t("articles").groupBy("url").agg(F.max_by("article_id", F.struct(size, -F.col("article_id"))).alias("article_id"), F.max(size).cast("bigint").alias("chars"), F.count("*").alias("copies"))
 
 
-@query(f"SELECT count(*) AS stored, count_if(length(coalesce(published_date, '')) >= 10) AS dated, count_if(length(coalesce(published_date, '')) >= 10 AND NOT regexp_matches(coalesce(url, ''), '(?i){_REJECT}')) AS kept_urls, count_if(length(trim(coalesce(content, ''))) >= 500) AS long_enough FROM articles")
+@query(f"SELECT count(*) AS stored, count_if(length(coalesce(published_date, '')) >= 10)::BIGINT AS dated, count_if(length(coalesce(published_date, '')) >= 10 AND NOT regexp_matches(coalesce(url, ''), '(?i){_REJECT}'))::BIGINT AS kept_urls, count_if(length(trim(coalesce(content, ''))) >= 500)::BIGINT AS long_enough FROM articles")
 def funnel_counts(t):
     dated = filters.valid_date()
     return t("articles").agg(F.count("*").alias("stored"), F.count_if(dated).alias("dated"), F.count_if(dated & ~filters.rejected_url()).alias("kept_urls"), F.count_if(filters.long_enough()).alias("long_enough"))
 
 
-@query("SELECT count(*) AS processed, count_if(embedding_status = 'embedded') AS succeeded, count_if(embedding_status = 'failed') AS failed, round(100.0 * count_if(embedding_status = 'embedded') / count(*), 4)::DOUBLE AS percent FROM articles WHERE embedding_status <> 'pending'")
+@query("SELECT count(*) AS processed, count_if(embedding_status = 'embedded')::BIGINT AS succeeded, count_if(embedding_status = 'failed')::BIGINT AS failed, round(100.0 * count_if(embedding_status = 'embedded') / count(*), 4)::DOUBLE AS percent FROM articles WHERE embedding_status <> 'pending'")
 def progress(t):
     done = t("articles").where("embedding_status <> 'pending'")
     ok = F.count_if(F.col("embedding_status") == "embedded")
     return done.agg(F.count("*").alias("processed"), ok.alias("succeeded"), F.count_if(F.col("embedding_status") == "failed").alias("failed"), F.round(F.lit(100.0) * ok / F.count("*"), 4).alias("percent"))
 
 
-@query("WITH v AS (SELECT url, count(DISTINCT source) AS yes_count FROM discovered_urls GROUP BY url) SELECT yes_count, count(*) AS urls, count_if(yes_count >= 2) AS consensus FROM v GROUP BY yes_count")
+@query("WITH v AS (SELECT url, count(DISTINCT source) AS yes_count FROM discovered_urls GROUP BY url) SELECT yes_count, count(*) AS urls, count_if(yes_count >= 2)::BIGINT AS consensus FROM v GROUP BY yes_count")
 def vote_histogram(t):
     v = t("discovered_urls").groupBy("url").agg(F.countDistinct("source").alias("yes_count"))
     return v.groupBy("yes_count").agg(F.count("*").alias("urls"), F.count_if(F.col("yes_count") >= 2).alias("consensus"))
