@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import stage
+
 
 def latest(rows: DataFrame, key: str, *order: str) -> DataFrame:
     """One row a key, the greatest by order. An aggregate, so that it combines before the shuffle and no key sorts."""
@@ -54,18 +56,26 @@ def failed(rows: DataFrame, limit: int = 100) -> DataFrame:
     return rows.where("embedding_status = 'failed'").orderBy(F.desc("embedded_at"), "article_id").limit(limit)
 
 
-def batches(rows: DataFrame, size: int, *order: str, within: str | None = None) -> DataFrame:
-    """A batch number of so many rows in order. Numbers run within the given column, or over all rows.
+def numbered(rows: DataFrame, *order: str) -> DataFrame:
+    """Rows with their place in order, from 0, as position.
 
-    Over all rows, ranges are sorted apart and their counts carried over, so that no task holds the whole table.
+    Ranges are sorted apart and the counts before them carried over, so that no task holds the whole table.
     """
-    if within:
-        n = F.row_number().over(Window.partitionBy(within).orderBy(*order))
-        return rows.withColumn("batch", F.floor((n - 1) / size))
-    parts = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
+    parts = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_p": F.spark_partition_id(), "_i": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)})
+    parts = stage(parts, "numbered")  # ranges are sampled: another run may cut them otherwise
     counts = parts.groupBy("_p").agg(F.count("*").alias("_n"))
     before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_p", "_before")
-    return parts.join(before, "_p").withColumn("batch", F.floor((F.col("_before") + F.col("_i")) / size)).select(*rows.columns, "batch")
+    return parts.join(before, "_p").withColumn("position", F.col("_before") + F.col("_i")).select(*rows.columns, "position")
+
+
+def batches(rows: DataFrame, size: int, *order: str) -> DataFrame:
+    """Rows with the number of their batch of so many rows in order."""
+    return numbered(rows, *order).withColumn("batch", F.floor(F.col("position") / size)).drop("position")
+
+
+def by_position(left: DataFrame, right: DataFrame, left_order: str, right_order: str, how: str = "inner") -> DataFrame:
+    """Rows of two lists by place: cut to the shorter, or with how='left' padded with nulls to the left one's length."""
+    return numbered(left, left_order).join(numbered(right, right_order), "position", how)
 
 
 def sliding_count(rows: DataFrame, key: str, ts: str, seconds: int) -> DataFrame:

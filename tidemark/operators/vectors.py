@@ -44,23 +44,25 @@ def both_searches(first: DataFrame, second: DataFrame, top_k: int, id_col: str =
 def neighbours(queries: DataFrame, corpus: DataFrame, k: int, id_col: str = "vec_id") -> DataFrame:
     """query_id, id, similarity, rank of the k nearest corpus rows of each query, by matrix products.
 
-    Queries come in blocks; each block meets every batch of the corpus once, and only a batch's k best leave it.
+    Queries come in blocks; each block meets every batch of the corpus once, and only the k best of a partition leave it.
     Null vectors have no neighbours; a vector of zeros is at similarity 0 of all.
     """
     parts = None
     for ids, q in _query_blocks(queries, id_col):
 
         def run(pdfs: Iterator[pd.DataFrame], ids: np.ndarray = ids, q: np.ndarray = q) -> Iterator[pd.DataFrame]:
+            best_id, best = np.empty((len(ids), 0), np.int64), np.empty((len(ids), 0))
             for pdf in pdfs:
                 pdf = pdf[pdf["embedding"].notna()]
                 if not len(pdf):
                     continue
-                own = pdf[id_col].to_numpy()
-                o = np.argsort(own, kind="stable")
-                own, m = own[o], _unit(np.stack(pdf["embedding"].to_numpy()).astype(np.float64)[o])
-                sim = np.round(q @ m.T, 6)
-                top = np.argsort(-sim, axis=1, kind="stable")[:, :k]  # ties stay by id
-                yield pd.DataFrame({"query_id": np.repeat(ids, top.shape[1]), "id": own[top].ravel(), "similarity": np.take_along_axis(sim, top, 1).ravel()})
+                own = pdf[id_col].to_numpy(np.int64)
+                sim = np.concatenate([best, np.round(q @ _unit(np.stack(pdf["embedding"].to_numpy()).astype(np.float64)).T, 6)], axis=1)
+                who = np.concatenate([best_id, np.broadcast_to(own, (len(ids), len(own)))], axis=1)
+                top = np.lexsort((who, -sim), axis=1)[:, :k]  # ties by id
+                best, best_id = np.take_along_axis(sim, top, 1), np.take_along_axis(who, top, 1)
+            if best.shape[1]:
+                yield pd.DataFrame({"query_id": np.repeat(ids, best.shape[1]), "id": best_id.ravel(), "similarity": best.ravel()})
 
         part = corpus.select(id_col, "embedding").mapInPandas(run, "query_id bigint, id bigint, similarity double")
         parts = part if parts is None else parts.unionByName(part)

@@ -200,20 +200,17 @@ def map_back(t):
     return extractions.mapped_back(t("articles").select("article_id", "url"), t("raw_extractions")).select("article_id", "url", "extraction_id")
 
 
-@query("""
-WITH a AS (SELECT article_id, row_number() OVER (PARTITION BY source ORDER BY article_id) AS n, source FROM articles WHERE source IS NOT NULL),
-b AS (SELECT s.source, row_number() OVER (PARTITION BY s.source ORDER BY article_id DESC) AS n, article_id AS other FROM articles s WHERE s.source IS NOT NULL)
-SELECT a.article_id, b.other FROM a JOIN b ON a.source = b.source AND a.n = b.n
-""")
+_PLACES = "(SELECT article_id, row_number() OVER (ORDER BY article_id) - 1 AS position FROM articles) a {} JOIN (SELECT extraction_id, row_number() OVER (ORDER BY extraction_id) - 1 AS position FROM raw_extractions) b USING (position)"
+
+
+@query(f"SELECT position, article_id, extraction_id FROM {_PLACES.format('')}")
 def positional_join(t):
-    """Rows of two lists by place: each source's articles forward against backward, by place and not by key."""
-    from pyspark.sql import Window
-
-    rows = t("articles").where("source is not null").select("article_id", "source")
-    w = Window.partitionBy("source")
-    a = rows.withColumn("n", F.row_number().over(w.orderBy("article_id")))
-    b = rows.withColumn("n", F.row_number().over(w.orderBy(F.desc("article_id")))).select("source", "n", F.col("article_id").alias("other"))
-    return a.join(b, ["source", "n"]).select("article_id", "other")
+    return tables.by_position(t("articles").select("article_id"), t("raw_extractions").select("extraction_id"), "article_id", "extraction_id")
+
+
+@query(f"SELECT position, article_id, extraction_id FROM {_PLACES.format('LEFT')}")
+def positional_left_join(t):
+    return tables.by_position(t("articles").select("article_id"), t("raw_extractions").select("extraction_id"), "article_id", "extraction_id", "left")
 
 
 _SUFFIX = "trim(name)"
