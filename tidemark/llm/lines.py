@@ -63,7 +63,18 @@ _ROW = re.compile(r"[^\W\d_][^\W\d_' ]*(?: [^\W\d_]+){0,2}(?: ?[|·/•] ?[^\W\d
 
 def is_navigation(path: str) -> bool:
     """A row of four or more short labels between separators, or navigation words only."""
-    return _ROW.fullmatch(path) is not None or all(w in _NAV for w in re.split(r"[ |·/•]+", path))
+    if path.partition(" ")[0].rstrip("|·/•") in _NAV and all(w in _NAV for w in re.split(r"[ |·/•]+", path)):
+        return True
+    return any(x in path for x in "|·/•") and _ROW.fullmatch(path) is not None
+
+
+#: First words of the forms, and what stands inside those that start with a name: most lines are told by a look at these.
+_STARTS = frozenset(
+    "written by text words von author story reporting home start startseite tag tags topic topics filed schlagwörter keywords related read don't also see more recommended mehr correction clarification editor's note "
+    "copyright ad ads anzeige advertisement sponsored werbung share 0 listen skip leave comments print back sitemap menu sign join get log {s} we your wir this privacy terms contact imprint impressum please enjoying "
+    "become did what send you most".split()
+)
+_INSIDE = (" | ", " covers ", " writes about ", " reports on ", " is a ", " is an ", "{s} ")
 
 
 def site_names(source: str | None, host: str) -> list[str]:
@@ -94,7 +105,11 @@ def digest(path: str) -> int:
 
 def is_form(path: str) -> bool:
     """Is the path furniture by its own form, whatever the host's votes?"""
-    return _FORMS.fullmatch(path) is not None or path == "{s}" or is_navigation(path)
+    first = path.partition(" ")[0].rstrip(":")
+    if first in _STARTS or first[:1] in "-©(" or path.startswith("the information on") or any(x in path for x in _INSIDE):
+        if _FORMS.fullmatch(path):
+            return True
+    return path == "{s}" or is_navigation(path)
 
 
 def headline_like(line: str) -> bool:

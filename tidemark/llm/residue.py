@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.furniture import Winners, pages_with_paths, rows_of, winners
-from tidemark.llm.wordhash import grams, mix, word_hashes
+from tidemark.llm.wordhash import distinct, grams, mix, word_hashes
 
 #: Rows of the labelled sample at most; the only bound here. Everything else sees all rows.
 SAMPLE_ROWS = 5_000
@@ -34,7 +34,7 @@ PLACEHOLDER = re.compile(
     r"|<%[^<>\n]*%>|<(?:insert|your|enter)\b[^<>\n]*>|__[A-Z][A-Z_]*__|@@\w+@@|\[(?:INSERT|TBC|TBD|TODO|PLACEHOLDER|YOUR|ENTER|ADD)\b[^\[\]\n]*\]"
     r"|\[[A-Z][A-Z _]{2,}\]|\[object Object\]|%[sd]\b|^TODO:|\bTODO\b|\[DUMMY TEXT[^\[\]\n]*\]"
 )
-_UNDEFINED = re.compile(r"\bundefined\b")
+_UNDEFINED = re.compile(r"undefined(?!\w)")
 #: What an unset field and a guard may rightly be called.
 _DEFINED = re.compile(r"\b(?:left|field\S*(?: \S+)?) undefined\b|\bundefined (?:behaviou?r|counts)\b", re.I)
 #: Words of error pages, script notices and filler. Fixed patterns.
@@ -57,13 +57,18 @@ LOREM = frozenset(
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-_HINT = re.compile(r"[{<%@#]|\[[^\W\da-z]|\[\[|\[object|\$\$|\$\{|__|TODO")
+#: Where a placeholder may start; the patterns are tried there and nowhere else.
+_HINT = re.compile(r"[{\[<%]|\$[{$]|#\{|__|@@|TODO")
 
 
 def has_placeholder(text: str) -> bool:
-    if _HINT.search(text) and PLACEHOLDER.search(text):
+    if any(PLACEHOLDER.match(text, m.start()) for m in _HINT.finditer(text)):
         return True
-    return "undefined" in text and _UNDEFINED.search(_DEFINED.sub(" ", text)) is not None
+    for m in _UNDEFINED.finditer(text):
+        a, b = m.span()
+        if (not a or not (text[a - 1].isalnum() or text[a - 1] == "_")) and not _DEFINED.search(text[max(0, a - 40) : b + 12]):
+            return True
+    return False
 
 
 def is_filler(line: str) -> bool:
@@ -79,11 +84,12 @@ def only_junk(lines: list[str]) -> bool:
     """Does a page, furniture aside, hold junk and no line of a story?"""
     junk = False
     for line in lines:
+        words = len(line.split())
+        if words > 25 and not is_filler(line):
+            return False
         if is_junk(line):
-            if len(line.split()) > 25 and not is_filler(line):
-                return False
             junk = True
-        elif len(line.split()) >= 8:
+        elif words >= 8:
             return False
     return junk
 
@@ -132,12 +138,14 @@ class Linear:
 
     def fit(self, rows: np.ndarray, cols: np.ndarray, y: np.ndarray, penalty: float = 0.03, steps: int = 80) -> Linear:
         """Accelerated proximal gradient steps; classes weigh alike, features as one over the root of their count."""
-        key = np.unique(rows * self.size + cols)
+        key = distinct(rows * self.size + cols)
         rows, cols = key // self.size, key % self.size
         often = np.bincount(cols, minlength=self.size)
         keep = often[cols] >= 2
         rows, cols = rows[keep], cols[keep]
         used, cols = np.unique(cols, return_inverse=True)
+        rows, cols = rows.astype(np.int32), cols.astype(np.int32)
+        del key, keep
         n, d = len(y), len(used)
         scale = 1 / np.sqrt(often[used])
         x = scale[cols]
@@ -166,7 +174,7 @@ class Linear:
 
     def score(self, rows: np.ndarray, cols: np.ndarray, n: int) -> np.ndarray:
         keep = self.w[cols] != 0
-        key = np.unique(rows[keep] * self.size + cols[keep])
+        key = distinct(rows[keep] * self.size + cols[keep])
         m = np.bincount(key // self.size, self.w[key % self.size], n) + self.b
         return 1 / (1 + np.exp(-np.clip(m, -30, 30)))
 
@@ -193,6 +201,7 @@ def fit(articles: DataFrame, won: Winners, each: DataFrame | None) -> tuple[Line
     picked = articles.where(F.pmod(F.xxhash64("article_id", F.lit("fit")), F.lit(1 << 20)) < int(rate * (1 << 20)) + 1) if rate < 1 else articles
     pdf = pages_with_paths(picked, each).limit(SAMPLE_ROWS).toPandas()
     _, fields, texts, titles, lines = values_of(pdf, won)
+    del pdf
     models = []
     for field in ("content", "error_message"):
         at = [i for i, f in enumerate(fields) if f == field]

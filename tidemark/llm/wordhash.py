@@ -51,6 +51,12 @@ def _char_hashes(digits_alike: bool) -> np.ndarray:
 _CHUNK = 1 << 18
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The different values in order, by sorting: several times faster here than a hash table."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
 def word_hashes(texts: list[str], symbols: bool = False, digits_alike: bool = False, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts in order, and the text each belongs to.
 
