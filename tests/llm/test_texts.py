@@ -148,6 +148,10 @@ def test_mixing(spark):
                 most = max(tokens[x.doc_id] for x in docs.where(F.col("source") == s).collect() if x.text)
                 assert got >= min(budget, caps[s] * have[s]) - 3 * most
         assert not [x for x in rows if x.source in (None, "untold")] and 2000 not in {x.doc_id for x in rows}
+    often = targets.withColumn("max_repeats", F.when(F.col("source") == "single", 100).otherwise(F.col("max_repeats")))
+    kept = {r.source: r for r in reached_shares(docs, often, keep_shares=True).collect()}
+    total = sum(r.mixed_tokens for r in kept.values())
+    assert all(abs(r.mixed_tokens / total - r.target_share / 0.8) < 0.1 for r in kept.values() if r.tokens) and kept["none"].mixed_tokens == 0
     again = sorted(map(tuple, mixed_records(docs.repartition(7), targets).collect()))
     assert again == sorted(map(tuple, mixed_records(docs, targets).collect()))
     assert mixed_records(docs.limit(0), targets).count() == 0 and reached_shares(docs.limit(0), targets).count() == 4

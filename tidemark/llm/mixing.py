@@ -58,17 +58,23 @@ def _sized(documents: DataFrame, targets: DataFrame, folder: str) -> DataFrame:
     return stage(wanted.select("doc_id", "source", token_count(F.col("text"), folder).alias("n_tokens"), h.alias("h")), "sized")
 
 
-def budgets(sized: DataFrame, targets: DataFrame, total_tokens: int | None = None) -> DataFrame:
+def budgets(sized: DataFrame, targets: DataFrame, total_tokens: int | None = None, keep_shares: bool = False) -> DataFrame:
     """source, target_share, max_repeats, tokens, budget, whole (full repeats), rest (tokens to take once more).
 
     The mix holds total_tokens; by default as many as the target sources hold. A source short of its budget is
-    repeated whole as often as its cap allows and falls short of its share.
+    repeated whole as often as its cap allows and falls short of its share. With keep_shares the mix is made no larger
+    than lets every source that has tokens reach its share.
     """
     t = targets.groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
     have = sized.groupBy("source").agg(F.sum("n_tokens").alias("tokens"))
     t = t.join(have, "source", "left").withColumn("tokens", F.coalesce("tokens", F.lit(0)))
     total = F.lit(total_tokens) if total_tokens is not None else F.sum("tokens").over(Window.partitionBy(F.lit(0)))
-    t = t.withColumn("budget", F.floor(F.col("target_share") * total))
+    t = t.withColumn("total", total.cast("double"))
+    if keep_shares:
+        most = F.when((F.col("tokens") > 0) & (F.col("target_share") > 0), F.col("tokens") * F.col("max_repeats") / F.col("target_share"))
+        most = F.min(most).over(Window.partitionBy(F.lit(0)))
+        t = t.withColumn("total", F.least("total", most) if total_tokens is not None else F.coalesce(most, "total"))
+    t = t.withColumn("budget", F.floor(F.col("target_share") * F.col("total"))).drop("total")
     whole = F.when(F.col("tokens") > 0, F.least(F.floor(F.col("budget") / F.col("tokens")), "max_repeats")).otherwise(F.lit(0))
     t = t.withColumn("whole", whole.cast("long"))
     rest = F.when(F.col("whole") < F.col("max_repeats"), F.col("budget") - F.col("whole") * F.col("tokens")).otherwise(F.lit(0))
@@ -104,9 +110,9 @@ def thresholds(sized: DataFrame, plan: DataFrame) -> DataFrame:
     return out.unionByName(left.select("source", "below"))
 
 
-def _mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None, folder: str) -> tuple[DataFrame, DataFrame]:
+def _mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None, folder: str, keep_shares: bool) -> tuple[DataFrame, DataFrame]:
     sized = _sized(documents, targets, folder)
-    plan = stage(budgets(sized, targets, total_tokens), "plan")
+    plan = stage(budgets(sized, targets, total_tokens, keep_shares), "plan")
     cut = plan.join(thresholds(sized, plan), "source", "left")
     # One row a source, of eight numbers: a table of sources is small by kind, but its size is left to the planner.
     records = sized.join(cut.select("source", "whole", "below"), "source")
@@ -114,18 +120,18 @@ def _mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None, fol
     return records.select("doc_id", "source", "n_tokens", copies.alias("copies")).where("copies > 0"), plan
 
 
-def mixed_records(documents: DataFrame, targets: DataFrame, total_tokens: int | None = None, folder: str = TOKENIZERS) -> DataFrame:
+def mixed_records(documents: DataFrame, targets: DataFrame, total_tokens: int | None = None, folder: str = TOKENIZERS, keep_shares: bool = False) -> DataFrame:
     """doc_id, source, n_tokens, copies of every record in the mix, copies at most the source's max_repeats.
 
     Sources without target, null sources and null texts stay out; a record without tokens may come along. Rows
     repeated with one id and text share a hash and come together. Of repeated targets the largest counts.
     """
-    return _mix(documents, targets, total_tokens, folder)[0]
+    return _mix(documents, targets, total_tokens, folder, keep_shares)[0]
 
 
-def reached_shares(documents: DataFrame, targets: DataFrame, total_tokens: int | None = None, folder: str = TOKENIZERS) -> DataFrame:
+def reached_shares(documents: DataFrame, targets: DataFrame, total_tokens: int | None = None, folder: str = TOKENIZERS, keep_shares: bool = False) -> DataFrame:
     """source, target_share, tokens, mixed_tokens, records, actual_share of every source with a target."""
-    mixed, plan = _mix(documents, targets, total_tokens, folder)
+    mixed, plan = _mix(documents, targets, total_tokens, folder, keep_shares)
     by = mixed.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("mixed_tokens"), F.count("*").alias("records"))
     out = plan.join(by, "source", "left").select("source", "target_share", "tokens", F.coalesce("mixed_tokens", F.lit(0)).alias("mixed_tokens"), F.coalesce("records", F.lit(0)).alias("records"))
     total = F.sum("mixed_tokens").over(Window.partitionBy(F.lit(0)))

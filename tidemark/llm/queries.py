@@ -51,10 +51,15 @@ def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixed_records(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+    return mixed_records(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"), keep_shares=True)
 
 
 def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reached_shares(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"), keep_shares=True)
+
+
+def p9_capped_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for a mix as large as its sources, in which the caps bind."""
     return reached_shares(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
 
 
@@ -66,7 +71,7 @@ def p10_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consistent_text(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_organisations, p6_found, p6_rebuilt, p7_found, p8_found, p8_report, p9_mix, p9_shares, p10_found, p10_texts)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_organisations, p6_found, p6_rebuilt, p7_found, p8_found, p8_report, p9_mix, p9_shares, p9_capped_shares, p10_found, p10_texts)}
 
 _P6_LINES = r"""
 pages AS (SELECT article_id, source, content FROM articles WHERE source IS NOT NULL),
