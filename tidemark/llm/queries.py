@@ -85,6 +85,13 @@ found AS (
   WHERE l.line_text <> '' GROUP BY l.source, l.line_text, t.total HAVING count(*) >= 5 AND count(*) * 10 >= t.total
 )
 """
+_P6_NORMAL = r"lower(regexp_replace(trim(regexp_replace(x, '[\s\x{85}\x{A0}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g')), '[0-9]+', '0', 'g'))"
 SQL = {
     "p6_found": f"WITH {_P6_LINES} SELECT source, line_text FROM found",
+    "p6_rebuilt": f"""
+WITH {_P6_LINES}, gone AS (SELECT source, list(line_text) AS gone FROM found GROUP BY source),
+cut AS (SELECT article_id, string_split(content, chr(10)) AS cut, coalesce(gone, []) AS gone FROM articles LEFT JOIN gone USING (source)),
+kept AS (SELECT article_id, cut, list_filter(cut, lambda x: NOT list_contains(gone, {_P6_NORMAL})) AS kept FROM cut)
+SELECT article_id, array_to_string(kept, chr(10)) AS content, (len(cut) - len(kept))::BIGINT AS n_removed FROM kept
+""",
 }

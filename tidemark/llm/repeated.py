@@ -52,4 +52,4 @@ def without_repeated(articles: DataFrame) -> DataFrame:
     cut = F.split("content", "\n")
     kept = F.when(F.col("gone").isNull(), cut).otherwise(F.filter(cut, lambda x: ~F.array_contains("gone", normal_line(x))))
     rows = rows.select("article_id", "content", cut.alias("cut"), kept.alias("kept"))
-    return rows.select("article_id", F.array_join("kept", "\n").alias("content"), (F.size("cut") - F.size("kept")).alias("n_removed"))
+    return rows.select("article_id", F.array_join("kept", "\n").alias("content"), (F.size("cut") - F.size("kept")).cast("bigint").alias("n_removed"))
