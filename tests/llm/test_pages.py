@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import near, residue
-from tidemark.llm.furniture import Winners, furniture_lines, winners
+from tidemark.llm.furniture import Winners, furniture_lines, same_story, winners
 from tidemark.llm.lines import headline_like, is_form, path_of, site_names
 from tidemark.llm.near import gram_sets, near_copies, pairs_of_sets
 from tidemark.llm.pages import main_body_lines, template_residue
@@ -45,6 +45,15 @@ def test_votes_find_furniture(spark):
     assert got == {1: 40, 7: 40}
 
 
+@pytest.mark.parametrize(
+    "line, title, want",
+    [("X-12 meets goal in Phase 2 gout trial", "Y-9 meets goal in Phase 2 gout trial", False), ("Regulators clear X-12 for gout", "Regulators clear Y-9 for gout", False), ("Gout: Foba Pharma heads for Phase II", "Asthma: Zati Pharma heads for Phase II", False)]
+    + [("Alpha buys Beta", "Exclusive: Alpha buys Beta", True), ("Foba Pharma to by Zati Bio", "Foba Pharma to buy Zati Bio", True), ("Regulators clear X-12 in gout", "Regulators clear X-12 for gout", True), ("Alpha buys Beta", None, False)],
+)
+def test_own_headline(line, title, want):
+    assert same_story(path_of(line, []), title and path_of(title, []), line, title) is want
+
+
 def test_null_blank_and_empty(spark):
     extra = [(90, None, None, None, None, None, "", 0), (91, "https://www.left-paper.org/9", None, "  \n \n", "Left Paper", None, "", 0), (92, "no url", "", "x" * 100_000, None, None, "", 0)]
     df = pages(spark, extra)

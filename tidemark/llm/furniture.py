@@ -67,7 +67,7 @@ def _votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         cache.clear()
                     cache[key, line] = got
                 d, p, headline = got
-                if before is not None and headline and not same_story(p, own):
+                if before is not None and headline and not same_story(p, own, line, title):
                     follows[h, before] += 1
                 before = None
                 if d not in seen:
@@ -78,14 +78,27 @@ def _votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"host": [k[0] for k in keys], "path": [k[1] for k in keys], "n": [n[k] for k in keys], "follows": [follows.get(k, 0) for k in keys]})
 
 
-def same_story(path: str, own: str | None) -> bool:
-    """Is a headline the page's own, as its title has it or with a few words changed?"""
+#: Words with a capital that headlines share whatever they tell. Fixed values.
+_COMMON = frozenset("phase i ii iii iv bio pharma pharmaceuticals therapeutics biosciences biologics oncology genomics medicines health labs group why five questions setback regulators exclusive update corrected".split())
+
+
+def _names(headline: str) -> set[str]:
+    """The words of a headline that tell its story: those with figures or capitals, but for common ones."""
+    words = [w.strip(".,:;()'’\"") for w in headline.split()]
+    return {w.lower() for i, w in enumerate(words) if any(c.isdigit() for c in w) or i and w[:1].isupper()} - _COMMON
+
+
+def same_story(path: str, own: str | None, line: str, title: str | None) -> bool:
+    """Is a headline the page's own, as its title has it or with some words changed?
+
+    Other stories' headlines often have the same build, so only names and figures are compared.
+    """
     if not own:
         return False
     if path == own or path in own or own in path:
         return True
-    a, b = set(path.split()), set(own.split())
-    return len(a & b) * 10 >= 6 * max(len(a), len(b))
+    a, b = _names(line), _names(title)
+    return len(a & b) * 2 > min(len(a), len(b)) > 0
 
 
 def wilson_low(n: F.Column, total: F.Column, z: float = 1.96) -> F.Column:
@@ -144,7 +157,7 @@ class Winners:
             if (form or known or d in won) and p != own:
                 out.append(True)
                 listing = (listing or won.get(d, False) or everywhere.get(d, False) or p in _HEADS) if not p.startswith(_TEASERS) else listing
-            elif listing and headline and not same_story(p, own):
+            elif listing and headline and not same_story(p, own, line, title):
                 out.append(True)
             else:
                 out.append(False)
