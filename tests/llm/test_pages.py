@@ -178,6 +178,8 @@ def test_pairs_cut_by_range(spark, monkeypatch):
     texts = [" ".join(edited(rng, base, s)) for s in np.linspace(0, 0.3, 25)]
     df = spark.createDataFrame(gram_sets(list(range(25)), texts), near._SETS)
     want = sorted(map(tuple, pairs_of_sets(df).collect()))
+    monkeypatch.setattr(near, "_HELD", 50)
+    assert sorted(map(tuple, pairs_of_sets(df).collect())) == want
     monkeypatch.setattr(near, "POSTINGS", 20)
     monkeypatch.setattr(near, "SENT_IDS", 0)
     assert sorted(map(tuple, pairs_of_sets(df).collect())) == want and want
