@@ -32,6 +32,9 @@ HOSTS, EVERYWHERE = 2, 0.001
 #: Winning paths of hosts are sent to the executors whole up to this many; beyond it they are joined by host.
 SENT_PATHS = 1_000_000
 
+#: Lines whose path a worker remembers; most hits are a host's own few.
+CACHED = 50_000
+
 _VOTES = "host bigint, path bigint, n bigint, follows bigint"
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 
@@ -63,7 +66,7 @@ def _votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if got is None:
                     p = path_of(line, names)
                     got = (digest(p), p, headline_like(line) and not is_form(p))
-                    if len(cache) > 200_000:
+                    if len(cache) > CACHED:
                         cache.clear()
                     cache[key, line] = got
                 d, p, headline = got
@@ -150,7 +153,7 @@ class Winners:
                 p = path_of(line, names)
                 d = digest(p)
                 got = (p, d, is_form(p), headline_like(line), d in everywhere)
-                if len(cache) > 200_000:
+                if len(cache) > CACHED:
                     cache.clear()
                 cache[key, line] = got
             p, d, form, headline, known = got
