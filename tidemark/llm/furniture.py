@@ -33,7 +33,7 @@ HOSTS, EVERYWHERE = 2, 0.001
 SENT_PATHS = 1_000_000
 
 #: Lines whose path a worker remembers; most hits are a host's own few.
-CACHED = 50_000
+CACHED = 200_000
 
 _VOTES = "host bigint, path bigint, n bigint, follows bigint"
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
