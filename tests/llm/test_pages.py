@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import near, residue
 from tidemark.llm.furniture import Winners, furniture_lines, same_story, winners
-from tidemark.llm.lines import headline_like, is_form, path_of, site_names
+from tidemark.llm.lines import headline_like, is_form, line_scores, path_of, prose_of, site_names
 from tidemark.llm.near import gram_sets, near_copies, pairs_of_sets
 from tidemark.llm.pages import main_body_lines, template_residue
 from tidemark.llm.repeated import repeated_lines, without_repeated
@@ -45,6 +45,38 @@ def test_votes_find_furniture(spark):
     assert got == {1: 40, 7: 40}
 
 
+def copies(n):
+    """Copies of one story on both hosts of pages(), each with an edit of its own: a third of the hosts' rows."""
+    story = ["Reaction in the valley", "- The union keeps its seat", "“We had hoped for more,” said Ann Valdor.", "Valdor Mills will close in May, the owner said, and the 40 people who work at Valdor will be paid until August."]
+    rows = []
+    for i in range(n):
+        host = ("www.left-paper.org", "www.right-paper.org")[i % 2]
+        top, end = (("Weather | Traffic | Sports", "Left Paper is printed on old paper."), ("Our pages: all news, all day", "Ask Right Paper a question"))[i % 2]
+        title = ("Owner shuts Valdor Mills", "Update: owner shuts Valdor Mills", f"Owner shuts Valdor Mills, tells {i}")[i % 3]
+        text = [x for k, x in enumerate(story) if k != i % 7] + [BODY[i % len(BODY)].replace("town", f"village{i}")]
+        rows.append((100 + i, f"https://{host}/c/{i}", title, "\n".join([top, title, *text, end]), ("Left Paper", "Right Paper")[i % 2], None, "clash", 0))
+    return rows
+
+
+def test_a_story_votes_once_a_host(spark):
+    rows = copies(20)
+    got = Counter()
+    for r in furniture_lines(pages(spark, rows)).collect():
+        got[r.article_id] += 1
+    assert got == dict.fromkeys([*range(40), *(r[0] for r in rows)], 2)
+    last = {r[0]: len(r[3].split("\n")) for r in rows}
+    found = {tuple(r) for r in furniture_lines(pages(spark, rows)).collect()}
+    assert all((i, 1) in found and (i, n) in found for i, n in last.items())
+
+
+def test_line_scores():
+    long = "The owner said that the mill would close in May and that all would be paid."
+    prose = [prose_of(x) for x in ("Home | News", long, long, "Rivals", "- The union keeps its seat", long, "Home")]
+    assert prose == [0, 4, 4, 0, 2, 4, 0]
+    assert line_scores(prose) == [16, 10, 10, 16, 13, 13, 16]
+    assert line_scores([4, 4, 4]) == [10, 4, 10] and line_scores([]) == []
+
+
 @pytest.mark.parametrize(
     "line, title, want",
     [("X-12 meets goal in Phase 2 gout trial", "Y-9 meets goal in Phase 2 gout trial", False), ("Regulators clear X-12 for gout", "Regulators clear Y-9 for gout", False), ("Gout: Foba Pharma heads for Phase II", "Asthma: Zati Pharma heads for Phase II", False)]

@@ -1,25 +1,29 @@
 """Main body of pages: consensus line paths, voted per host.
 
 The pages reach us as text, so a container is a line block and its path is the line generalised over case,
-figures, white space and the site's name. Each page scores its lines and votes on their paths; a path that the lower
-confidence bound of its share among a host's pages puts above ``SHARE`` wins on that host. Paths that win on many
-hosts win everywhere. The second pass re-reads each page and marks lines on winning paths, lines whose form alone is
+figures, white space and the site's name. Each page scores its lines, by length, sentence build, separators and what
+stands next to them, and votes on their paths with that score. However many pages tell one story, on a host it has one
+vote: a path's share is the smaller of its shares of the host's pages and of the host's stories, and a path wins on the
+host when the lower confidence bound of share times mean score reaches ``SHARE``. Paths that win on many hosts win
+everywhere. The second pass re-reads each page and marks lines on winning paths, lines whose form alone is
 furniture, and the headlines listed under a path which headlines follow.
 
-Defined results: null or blank content has no lines; a blank line is counted but never marked; ties and repeated rows
-count as votes of their own; an empty table gives an empty result; columns besides those named are not read.
+Defined results: null or blank content has no lines; a blank line is counted but never marked; repeated rows tell one
+story; an empty table gives an empty result; columns besides those named are not read.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.lines import PROSE_CHARS, digest, headline_like, is_form, path_of, site_names
+from tidemark.llm.lines import PROSE_CHARS, digest, headline_like, is_form, line_scores, path_of, prose_of, site_names
 from tidemark.session import stage
 
 #: A path wins on a host when the lower bound (95 %) of its share of the host's pages reaches this.
@@ -35,7 +39,7 @@ SENT_PATHS = 1_000_000
 #: Lines whose path a worker remembers; most hits are a host's own few.
 CACHED = 200_000
 
-_VOTES = "host bigint, path bigint, n bigint, follows bigint"
+_VOTES = "host bigint, path bigint, story bigint, score int, follows boolean"
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 
 
@@ -44,41 +48,45 @@ def host_of(url: str = "url") -> F.Column:
 
 
 def _votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per batch: pages of each host, and its pages holding each path. Long prose never votes."""
+    """Per page: a row of path 0, and one of each of its paths with its score. Long prose never votes."""
     cache: dict = {}
     for pdf in batches:
-        n, follows = Counter(), Counter()
+        hosts, stories, sizes, paths, scores, follows = [], [], [], array("q"), array("i"), array("b")
         for h, host, source, title, content in zip(pdf["host_key"], pdf["host"], pdf["source"], pdf["title"], pdf["content"]):
-            n[h, 0] += 1
-            if not content:
-                continue
-            names, seen, before = site_names(source, host), set(), None
+            names, seen, before, at, prose = site_names(source, host), set(), None, [], []
             own = path_of(title, names) if title else None
-            key = tuple(names)
-            for raw in content.split("\n"):
+            key, start = tuple(names), len(paths)
+            hosts.append(h), stories.append(digest(story_of(title, content, own)))
+            paths.append(0), follows.append(False)
+            for raw in content.split("\n") if content else ():
                 line = raw.strip()
                 if not line:
                     continue
                 if len(line) > PROSE_CHARS and line[-1] in ".!?”\"":
+                    prose.append(4)
                     before = None
                     continue
                 got = cache.get((key, line))
                 if got is None:
                     p = path_of(line, names)
-                    got = (digest(p), p, headline_like(line) and not is_form(p))
+                    got = (digest(p), p, headline_like(line) and not is_form(p), prose_of(line))
                     if len(cache) > CACHED:
                         cache.clear()
                     cache[key, line] = got
-                d, p, headline = got
+                d, p, headline, built = got
                 if before is not None and headline and not same_story(p, own, line, title):
-                    follows[h, before] += 1
+                    follows[before] = True
                 before = None
                 if d not in seen:
                     seen.add(d)
-                    n[h, d] += 1
-                    before = d
-        keys = list(n)
-        yield pd.DataFrame({"host": [k[0] for k in keys], "path": [k[1] for k in keys], "n": [n[k] for k in keys], "follows": [follows.get(k, 0) for k in keys]})
+                    before = len(paths)
+                    paths.append(d), follows.append(False), at.append(len(prose))
+                prose.append(built)
+            score = line_scores(prose)
+            scores.append(16), scores.extend([score[i] for i in at])
+            sizes.append(len(paths) - start)
+        of = [np.repeat(np.array(x, np.int64), np.array(sizes, np.int64)) for x in (hosts, stories)]
+        yield pd.DataFrame({"host": of[0], "path": np.array(paths, np.int64), "story": of[1], "score": np.array(scores, np.int32), "follows": np.array(follows, bool)})
 
 
 #: Words with a capital that headlines share whatever they tell. Fixed values.
@@ -104,6 +112,19 @@ def same_story(path: str, own: str | None, line: str, title: str | None) -> bool
     return len(a & b) * 2 > min(len(a), len(b)) > 0
 
 
+def story_of(title: str | None, content: str | None, own: str | None) -> str:
+    """What tells a page's story, alike in near copies: of the names and figures in its title (in its text, without a title), the one its text has most.
+
+    Edits of a few words seldom change it, so copies of a story share few of these, however many they are. Stories of
+    one name count as one, which only lowers a vote.
+    """
+    text = (content or "").lower()
+    if not title:
+        found = Counter(w for line in (content or "").split("\n") for w in _names(line))
+        return max(found, key=lambda w: (len(w) >= 4, found[w], w), default="")
+    return max(_names(title), key=lambda w: (len(w) >= 4, text.count(w), w), default=own or "")
+
+
 def wilson_low(n: F.Column, total: F.Column, z: float = 1.96) -> F.Column:
     p = n / total
     return (p + z * z / (2 * total) - z * F.sqrt((p * (1 - p) + z * z / (4 * total)) / total)) / (1 + z * z / total)
@@ -112,10 +133,13 @@ def wilson_low(n: F.Column, total: F.Column, z: float = 1.96) -> F.Column:
 def host_paths(articles: DataFrame) -> DataFrame:
     """host, path, head: the winning paths of each host, staged."""
     pages = articles.select(F.xxhash64(host_of()).alias("host_key"), host_of().alias("host"), "source", "title", "content")
-    votes = pages.mapInPandas(_votes, _VOTES).groupBy("host", "path").agg(F.sum("n").alias("n"), F.sum("follows").alias("follows"))
+    votes = pages.mapInPandas(_votes, _VOTES).groupBy("host", "path", "story").agg(F.count("*").alias("n"), F.sum("score").alias("score"), F.count_if("follows").alias("follows"))
+    votes = votes.groupBy("host", "path").agg(F.sum("n").alias("n"), F.count("*").alias("stories"), F.sum("score").alias("score"), F.sum("follows").alias("follows"))
     votes = stage(votes.where("path = 0 or n >= 4"), "votes")
-    total = votes.where("path = 0").select("host", F.col("n").alias("total"))
-    won = votes.where("path <> 0").join(total, "host").where(wilson_low(F.col("n"), F.col("total")) >= SHARE)
+    total = votes.where("path = 0").select("host", F.col("n").alias("total"), F.col("stories").alias("told"))
+    # In stories: those with the path, but no more than by its share of pages, as many pages may share few stories.
+    held = F.least(F.col("stories"), F.col("n") / F.col("total") * F.col("told")) * F.col("score") / (16 * F.col("n"))
+    won = votes.where("path <> 0").join(total, "host").where(wilson_low(held, F.col("told")) >= SHARE)
     return stage(won.select("host", "path", (F.col("follows") >= FOLLOW * F.col("n")).alias("head"), "total"), "paths")
 
 
