@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import near, residue
 from tidemark.llm.furniture import Winners, furniture_lines, same_story, winners
-from tidemark.llm.lines import headline_like, is_form, line_scores, path_of, prose_of, site_names
+from tidemark.llm.lines import PROSE_CHARS, headline_like, is_form, line_scores, path_of, prose_of, site_names
 from tidemark.llm.near import gram_sets, near_copies, pairs_of_sets
 from tidemark.llm.pages import main_body_lines, template_residue
 from tidemark.llm.repeated import repeated_lines, without_repeated
@@ -69,6 +69,19 @@ def test_a_story_votes_once_a_host(spark):
     assert all((i, 1) in found and (i, n) in found for i, n in last.items())
 
 
+def test_long_notices_are_voted_on(spark):
+    """A notice of one long line is furniture, at a page's end and amid its story; long paragraphs of the story stay."""
+    notice = "This paper and its partners keep small files on your device, " + "which tell them what you read and for how long, " * 5 + "unless you say no."
+    rows = []
+    for r in pages(spark).collect():
+        lines = r.content.split("\n")
+        own = f"In {chr(97 + r.article_id % 26) * (2 + r.article_id // 26)}ton, " + "where the plant has stood for years and years, " * 6 + "nobody knew."
+        rows.append((*r[:3], "\n".join([*lines[:4], notice, own, *lines[4:], notice]), *r[4:]))
+    assert len(notice) > PROSE_CHARS
+    got = Counter(r.line_no for r in furniture_lines(spark.createDataFrame(rows, ART)).collect())
+    assert got == {1: 40, 5: 40, 9: 40, 10: 40}
+
+
 def test_line_scores():
     long = "The owner said that the mill would close in May and that all would be paid."
     prose = [prose_of(x) for x in ("Home | News", long, long, "Rivals", "- The union keeps its seat", long, "Home")]

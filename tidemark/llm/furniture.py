@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.lines import PROSE_CHARS, digest, headline_like, is_form, line_scores, path_of, prose_of, site_names
+from tidemark.llm.lines import digest, headline_like, is_form, is_long, line_scores, path_of, prose_of, site_names
 from tidemark.session import stage
 
 #: A path wins on a host when the lower bound (95 %) of its share of the host's pages reaches this.
@@ -48,7 +48,7 @@ def host_of(url: str = "url") -> F.Column:
 
 
 def _votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per page: a row of path 0, and one of each of its paths with its score. Long prose never votes."""
+    """Per page: a row of path 0, and one of each of its paths with its score. A line's length only counts in its score."""
     cache: dict = {}
     for pdf in batches:
         hosts, stories, sizes, paths, scores, follows = [], [], [], array("q"), array("i"), array("b")
@@ -62,11 +62,11 @@ def _votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 line = raw.strip()
                 if not line:
                     continue
-                if len(line) > PROSE_CHARS and line[-1] in ".!?”\"":
-                    prose.append(4)
-                    before = None
-                    continue
-                got = cache.get((key, line))
+                if is_long(line):  # not remembered: few of these occur twice
+                    p = path_of(line, names)
+                    got = (digest(p), p, False, prose_of(line))
+                else:
+                    got = cache.get((key, line))
                 if got is None:
                     p = path_of(line, names)
                     got = (digest(p), p, headline_like(line) and not is_form(p), prose_of(line))
@@ -79,7 +79,7 @@ def _votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 before = None
                 if d not in seen:
                     seen.add(d)
-                    before = len(paths)
+                    before = len(paths) if not is_long(line) else None
                     paths.append(d), follows.append(False), at.append(len(prose))
                 prose.append(built)
             score = line_scores(prose)
@@ -168,9 +168,10 @@ class Winners:
             if not line:
                 out.append(False)
                 continue
-            if len(line) > PROSE_CHARS and line[-1] in ".!?”\"":
-                out.append(False)
-                listing = False
+            if is_long(line):
+                d = digest(path_of(line, names)) if won or everywhere else 0
+                out.append(d in won or d in everywhere)
+                listing = listing and out[-1]
                 continue
             got = cache.get((key, line))
             if got is None:

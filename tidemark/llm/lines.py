@@ -6,7 +6,7 @@ import re
 
 import xxhash
 
-#: Longest terminated line that can be furniture. A longer one that ends as a sentence is prose by its own score.
+#: An ended line longer than this has no form and is no headline: only votes, in which its score is low, make it furniture.
 PROSE_CHARS = 240
 
 _WS = re.compile(r"\s+")
@@ -112,6 +112,10 @@ def is_form(path: str) -> bool:
     return path == "{s}" or is_navigation(path)
 
 
+def is_long(line: str) -> bool:
+    return len(line) > PROSE_CHARS and line[-1] in ".!?”\""
+
+
 def prose_of(line: str) -> int:
     """How much a line is built like a story's prose, in quarters: ended sentences by their words, quotes and list items, never separated labels."""
     if any(x in line for x in "|·•»©"):
