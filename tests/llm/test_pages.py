@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import near, residue
 from tidemark.llm.furniture import Winners, furniture_lines, same_story, winners
-from tidemark.llm.lines import PROSE_CHARS, headline_like, is_form, line_scores, path_of, prose_of, site_names
+from tidemark.llm.lines import PROSE_CHARS, digest, headline_like, is_form, line_scores, path_of, prose_of, site_names
 from tidemark.llm.near import gram_sets, near_copies, pairs_of_sets
 from tidemark.llm.pages import main_body_lines, template_residue
 from tidemark.llm.repeated import repeated_lines, without_repeated
@@ -82,6 +82,15 @@ def test_long_notices_are_voted_on(spark):
     assert got == {1: 40, 5: 40, 9: 40, 10: 40}
 
 
+@pytest.mark.parametrize("line", ["This press text was supplied by a third party, who alone answers for its content.", "What do you think? Write to the editor.", "Send by mail · Copy link · Save for later", "Share 14 times", "Left Paper uses cookies to count visits."])
+def test_sentences_of_sites_have_no_form(line):
+    """They are told by votes; a page that no other page resembles keeps them."""
+    names = site_names("Left Paper", "www.left-paper.org")
+    assert not is_form(path_of(line, names))
+    assert Winners({}, {}).marks("www.left-paper.org", "Left Paper", None, line, {})[1] == [False]
+    assert Winners({}, {}).marks("www.left-paper.org", "Left Paper", None, line, {digest(path_of(line, names)): False})[1] == [True]
+
+
 def test_line_scores():
     long = "The owner said that the mill would close in May and that all would be paid."
     prose = [prose_of(x) for x in ("Home | News", long, long, "Rivals", "- The union keeps its seat", long, "Home")]

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.lines import digest, headline_like, is_form, is_long, line_scores, path_of, prose_of, site_names
+from tidemark.llm.lines import digest, headline_like, is_form, is_long, is_tool, line_scores, path_of, prose_of, site_names
 from tidemark.session import stage
 
 #: A path wins on a host when the lower bound (95 %) of its share of the host's pages reaches this.
@@ -69,7 +69,7 @@ def _votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     got = cache.get((key, line))
                 if got is None:
                     p = path_of(line, names)
-                    got = (digest(p), p, headline_like(line) and not is_form(p), prose_of(line))
+                    got = (digest(p), p, headline_like(line) and not is_form(p) and not is_tool(p), prose_of(line))
                     if len(cache) > CACHED:
                         cache.clear()
                     cache[key, line] = got

@@ -13,7 +13,8 @@ _WS = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
 _NAME = r"[^\W\d_][\w.'’-]*(?: [^\W\d_][\w.'’-]*){1,3}"
 
-#: Forms of lines which are furniture by themselves, on the lower-cased line with digits as 0 and the site as {s}.
+#: Forms of lines which are furniture by themselves: what names a page's author, place, subject, correction or another story,
+#: and so differs from page to page where no vote can find it, and openers of lists. All else is left to votes. On the lower-cased line with digits as 0 and the site as {s}.
 _FORMS = re.compile(
     "|".join(
         (
@@ -26,36 +27,23 @@ _FORMS = re.compile(
             r"(?:correction|clarification|editor's note|note): .+",
             r"(?:©|\(c\)|copyright) ?0.*",
             r"-? ?(?:ad|ads|anzeige|advertisement|sponsored|sponsored content|werbung) ?-?",
-            r"story continues below this advertisement",
-            r"share(?: (?:this(?: story)?(?:: .+)?|0 times))?",
-            r"0 (?:shares so far|min(?:ute)? read|comments?)",
-            r"listen to this article \(0 min\)",
-            r"skip to (?:main )?content",
-            r"(?:leave a comment|comments are closed\.|print this page|back to top|sitemap|menu)",
-            r"sign up for the .+ briefing",
-            r"join 0(?:,0)* readers who .+",
-            r"get \{s\} in your inbox .+",
-            r"(?:log in|sign in) to join the discussion .+",
-            r"\{s\} is a trade name of .+",
-            r"(?:we value your privacy\.|your choices about tracking:|wir verwenden cookies\.).*",
-            r"by staying on this site you agree .+",
-            r"\{s\} uses cookies .+",
-            r"this page sets small files on your device\..*",
-            r"(?:privacy(?: policy)?|terms(?: of (?:use|service))?|contact(?: us)?|imprint|impressum)(?: ?[|/·] ?[\w ]+)*",
-            r"please enable javascript to view the comments\.",
-            r"the information on \{s\} is given without warranty .+",
-            r"this press text was supplied by a third party, .+",
-            r"(?:enjoying this story\? |become a member to unlock ).+",
-            r"did you like this\? .+",
-            r"what do you think\? write to the editor\.",
             r"[^.]{2,60} (?:covers|writes about|reports on|is an? [\w ]*(?:reporter|editor|writer)) [^.]+\. (?:reach|contact|write|e-?mail|follow|call) .+",  # notes on authors
-            r"send by mail · copy link · save for later",
+            r"\{s\} is an? (?:trade name|trademark|brand|publication|service) of .+",  # imprint
             r"(?:you may also like|related stories|most read|editor's picks|read next|more on this topic|mehr zum thema)",
         )
     )
 )
 
 
+#: Labels of readers' tools, separated labels, and what speaks to readers in two sentences: no headlines, though they have figures or capitals.
+#: They mark nothing. Fixed values.
+_TOOLS = re.compile(r"(?:share|listen|sign (?:up|in)|log in|join|print|subscribe)\b.*|0 (?:min(?:ute)?|shares?|comments?|views?)\b.*|[^?!]+[?!] .+|.* [·•»] .+")
+
+
+def is_tool(path: str) -> bool:
+    return _TOOLS.fullmatch(path) is not None
+
+
 #: Words of navigation rows. Fixed values.
 _NAV = frozenset("home start news deals data pipeline podcasts webinars jobs events opinion subscribe log in sign up about us contact search menu topics newsletters login register account more help faq".split())
 _ROW = re.compile(r"[^\W\d_][^\W\d_' ]*(?: [^\W\d_]+){0,2}(?: ?[|·/•] ?[^\W\d_][^\W\d_' ]*(?: [^\W\d_]+){0,2}){3,}")
@@ -71,8 +59,7 @@ def is_navigation(path: str) -> bool:
 #: First words of the forms, and what stands inside those that start with a name: most lines are told by a look at these.
 _STARTS = frozenset(
     "written by text words von author story reporting home start startseite tag tags topic topics filed schlagwörter keywords related read don't also see more recommended mehr correction clarification editor's note "
-    "copyright ad ads anzeige advertisement sponsored werbung share 0 listen skip leave comments print back sitemap menu sign join get log {s} we your wir this privacy terms contact imprint impressum please enjoying "
-    "become did what send you most".split()
+    "copyright ad ads anzeige advertisement sponsored werbung you most".split()
 )
 _INSIDE = (" | ", " covers ", " writes about ", " reports on ", " is a ", " is an ", "{s} ")
 
@@ -90,7 +77,7 @@ def site_names(source: str | None, host: str) -> list[str]:
 
 def path_of(line: str, names: list[str]) -> str:
     """The generalised path of a line: case, white space, figures and the site's own name do not matter."""
-    s = _DIGITS.sub("0", _WS.sub(" ", line).strip().lower())
+    s = _DIGITS.sub("0", " ".join(line.split()).lower())
     for n in names:
         if n in s:
             s = s.replace(n, "{s}")
@@ -106,7 +93,7 @@ def digest(path: str) -> int:
 def is_form(path: str) -> bool:
     """Is the path furniture by its own form, whatever the host's votes?"""
     first = path.partition(" ")[0].rstrip(":")
-    if first in _STARTS or first[:1] in "-©(" or path.startswith("the information on") or any(x in path for x in _INSIDE):
+    if first in _STARTS or first[:1] in "-©(" or any(x in path for x in _INSIDE):
         if _FORMS.fullmatch(path):
             return True
     return path == "{s}" or is_navigation(path)
