@@ -61,3 +61,16 @@ def test_exchange_and_days(spark):
     got = one(spark, money.exchange(F.lit("2").cast("decimal(20,6)"), F.lit("XXX"), F.lit(None).cast("decimal(18,8)"), F.lit("s")))
     assert got.amount is None and got.rate is None and got.source == "Unavailable"
     assert str(one(spark, money.previous_business_day(F.lit("2024-01-01").cast("date")))) == "2023-12-29"
+
+
+def test_amounts_of_many_digits(spark):
+    """Every decimal counts at a large scale, and a figure too large for dollars of 64 bits is no amount and no error."""
+    import json
+
+    from tidemark.operators.amounts import usd_amounts
+
+    values = ["$1.23456789 billion", "$12345678901234567", "$99999999999999999999", "$1.5", "$0.0000000000001 trillion"]
+    rows = [(i, json.dumps({"money": {"upfront_value": v, "currency": "USD"}})) for i, v in enumerate(values)]
+    rates = spark.createDataFrame([("USD", 1.0, "s")], "currency string, rate double, source string").selectExpr("currency", "cast(rate as decimal(18,8)) rate", "source")
+    got = {r.extraction_id: r.usd_amount for r in usd_amounts(spark.createDataFrame(rows, "extraction_id bigint, raw_json string"), rates).collect()}
+    assert got == {0: 1_234_567_890, 1: 12_345_678_901_234_567, 3: 2}

@@ -5,11 +5,12 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from decimal import Decimal, InvalidOperation
+from decimal import ROUND_HALF_UP, Context, Decimal, InvalidOperation
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from tidemark.functions.units import resolve
 from tidemark.session import stage
@@ -118,7 +119,12 @@ def told_with(evidence: str | None, n: Decimal) -> list[tuple[str, str]]:
     return out
 
 
-_READ = "extraction_id bigint, field_name string, figure decimal(38,12), exponent boolean, unit string, currency string, told array<string>"
+#: Wide enough for any figure here times scale and rate, without rounding.
+_WIDE = Context(prec=400, rounding=ROUND_HALF_UP)
+#: Figures from here on are no amounts, nor are dollars that 64 bits can't hold.
+TOO_LARGE = Decimal(10) ** 20
+
+_READ = "extraction_id bigint, field_name string, figure decimal(38,12), exact string, exponent boolean, unit string, currency string, told array<string>"
 
 
 def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -131,13 +137,13 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 continue
             for field in FIELDS:
                 got = reading(money.get(field))
-                if got is None or not 0 < got[0] < Decimal(10) ** 20:
+                if got is None or not 0 < got[0] < TOO_LARGE:
                     continue
                 currency = money.get("currency")
                 currency = currency.strip() if isinstance(currency, str) and currency.strip() else None
                 told = [f"{a} {b}".strip() for a, b in told_with(found.get("key_evidence"), got[0])]
-                rows.append((i, field, round(got[0], 12), got[2], got[1].lower(), currency and currency.lower(), told))
-        yield pd.DataFrame(rows, columns=["extraction_id", "field_name", "figure", "exponent", "unit", "currency", "told"])
+                rows.append((i, field, got[0].quantize(Decimal("1e-12"), context=_WIDE), str(got[0]), got[2], got[1].lower(), currency and currency.lower(), told))
+        yield pd.DataFrame(rows, columns=["extraction_id", "field_name", "figure", "exact", "exponent", "unit", "currency", "told"])
 
 
 def _lookup(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -149,11 +155,21 @@ def _lookup(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["spelling", "told", "known", "code", "scale"]).astype({"scale": "Int64"})
 
 
+@F.pandas_udf(LongType())
+def _dollars(exact: pd.Series, rate: pd.Series, scale: pd.Series) -> pd.Series:
+    """Whole dollars, half up; null beyond 64 bits."""
+    out = []
+    for x, r, s in zip(exact, rate, scale):
+        n = None if r is None else int(_WIDE.multiply(_WIDE.multiply(Decimal(x), r), s).to_integral_value(ROUND_HALF_UP))
+        out.append(n if n is not None and n < 1 << 63 else None)
+    return pd.Series(out, dtype="Int64")
+
+
 def usd_amounts(extractions: DataFrame, rates: DataFrame) -> DataFrame:
     """extraction_id, field_name, usd_amount (whole dollars, half up) of each value that gives a single amount above 0.
 
     No amounts: unreadable JSON, null or missing values, money that is no object, vague amounts, ranges, zero and
-    below, currencies without a rate. Repeated extractions give theirs each; of repeated rates the largest counts.
+    below, figures from TOO_LARGE on and dollars beyond 64 bits, currencies without a rate. Repeated extractions give theirs each; of repeated rates the largest counts.
     """
     read = stage(extractions.select("extraction_id", "raw_json").mapInPandas(_read, _READ), "figures")
     own = read.select(F.col("unit").alias("spelling"), F.lit(False).alias("told"))
@@ -179,6 +195,5 @@ def usd_amounts(extractions: DataFrame, rates: DataFrame) -> DataFrame:
     single = F.col("exponent") | F.col("own_code").isNotNull() | (F.col("figure") >= MILLIONS_BELOW)
     scale = F.coalesce("own_scale", F.when(F.col("exponent") | F.col("own_code").isNotNull(), F.lit(1)), "told_scale", F.when(single, F.lit(1)).otherwise(F.lit(1_000_000)))
     worth = rates.groupBy(F.upper("currency").alias("code")).agg(F.max("rate").alias("rate"))
-    out = rows.select("extraction_id", "field_name", "figure", code.alias("code"), scale.cast("decimal(14,0)").alias("scale")).join(worth, "code")
-    usd = F.round(F.col("figure").cast("decimal(22,6)") * F.col("rate").cast("decimal(14,8)") * F.col("scale").cast("decimal(13,0)"), 0)
-    return out.select("extraction_id", "field_name", usd.cast("bigint").alias("usd_amount")).where("usd_amount > 0")
+    out = rows.select("extraction_id", "field_name", "exact", code.alias("code"), scale.cast("decimal(14,0)").alias("scale")).join(worth, "code")
+    return out.select("extraction_id", "field_name", _dollars("exact", "rate", "scale").alias("usd_amount")).where("usd_amount > 0")
