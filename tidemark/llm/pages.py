@@ -8,8 +8,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from tidemark.llm.furniture import pages_with_paths, rows_of, winners
-from tidemark.llm.residue import fit, residue_values, score_values
+from tidemark.llm.furniture import pages_with_paths, winners
+from tidemark.llm.residue import Values, fit, residue_values
 
 
 def template_residue(articles: DataFrame) -> DataFrame:
@@ -27,14 +27,13 @@ def main_body_lines(articles: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found, fields, case, _ = score_values(pdf, won, models)
-            out = {i for i, f, c in zip(found, fields, case) if c and f == "content"}
+            values = Values(pdf.assign(error_message=None), won)
             ids, nos = [], []
-            for r in rows_of(pdf):
-                if r.article_id not in out:
-                    marks = np.flatnonzero(won.marks(r.host, r.source, r.title, r.content, r.won(won))[1])
-                    ids.append(np.full(len(marks), r.article_id, np.int64))
-                    nos.append(marks + 1)
+            for i, case in enumerate(values.residue(models)):
+                if not case:
+                    at = np.flatnonzero(values.marks[i])
+                    ids.append(np.full(len(at), values.ids[i], np.int64))
+                    nos.append(at + 1)
             yield pd.DataFrame({"article_id": np.concatenate(ids) if ids else np.empty(0, np.int64), "line_no": np.concatenate(nos) if nos else np.empty(0, np.int64)})
 
     return pages_with_paths(articles, each).mapInPandas(run, "article_id bigint, line_no bigint")

@@ -1,8 +1,9 @@
 """Template residue, filler, error pages and script notices instead of content.
 
 A regularised linear classifier on hashed n-grams, length and title features is fitted on a bounded sample labelled
-weakly: by phrases, and by the status a response line states. It scores every value of every row; what it holds
-possible is verified exactly. Furniture of the page is set aside first, so that a notice in it never counts.
+weakly: by phrases, and by the status a response line states. It scores every value of every row and decides, at the
+threshold that fits hosts best which it has not seen. Only unfilled template syntax, which may stand anywhere in a real
+story, is told by its form. Furniture of the page is set aside first, so that a notice in it never counts.
 
 Defined results: null and blank values are no cases; ties and repeated rows are scored each by itself; an empty table
 gives an empty result; other columns are not read.
@@ -18,15 +19,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.furniture import Winners, pages_with_paths, rows_of, winners
+from tidemark.llm.furniture import Winners, marked, pages_with_paths, winners
+from tidemark.llm.lines import digest
 from tidemark.llm.wordhash import distinct, grams, mix, word_hashes
 
 #: Rows of the labelled sample at most; the only bound here. Everything else sees all rows.
 SAMPLE_ROWS = 5_000
+#: Values of the sample labelled as none, of which the fit takes this many (by hash) at most; those labelled as residue all count.
+FIT_OTHERS = 1_500
 BITS = 18
-#: A value is verified when the classifier holds it at least this likely, or among this share of the likeliest of the
-#: sample: the classifier only has to rank cases above most others, the exact check decides.
-LIKELY, LIKELIEST = 0.05, 0.15
+#: One host in so many of the sample is kept back to choose the threshold.
+KEPT_BACK = 4
 
 #: Unfilled template syntax. Fixed patterns.
 PLACEHOLDER = re.compile(
@@ -80,36 +83,19 @@ def is_junk(line: str) -> bool:
     return _JUNK.search(line) is not None or is_filler(line)
 
 
-def only_junk(lines: list[str]) -> bool:
-    """Does a page, furniture aside, hold junk and no line of a story?"""
-    junk = False
-    for line in lines:
-        words = len(line.split())
-        if words > 25 and not is_filler(line):
-            return False
-        if is_junk(line):
-            junk = True
-        elif words >= 8:
-            return False
-    return junk
-
-
-def verified(field: str, text: str, lines: list[str]) -> bool:
-    """The exact check of a value that the classifier holds possible."""
-    if has_placeholder(text):
-        return True
-    if field == "error_message":
-        return text.strip().lower() == "undefined" or _HTML.search(text) is not None or only_junk([x for x in lines if x.strip()])
-    return only_junk(lines)
-
-
 def weak_label(field: str, text: str, lines: list[str]) -> int:
     """A label by phrases and by the status that the first line states, as a response's would be."""
-    if has_placeholder(text):
-        return 1
     first = lines[0] if lines else ""
     status = re.match(r"(?:HTTP )?[45]\d\d\b", first) is not None and "fetching" not in first
-    return int(status or (len(text) < 1500 and bool(lines) and sum(map(is_junk, lines)) * 2 >= len(lines)))
+    if field == "error_message":
+        status = status or _HTML.search(text) is not None or text.strip().lower() == "undefined"
+    if status:
+        return 1
+    long = [x for x in lines if x.count(" ") >= 25]
+    if sum(map(len, long)) * 4 >= len(text) and not any(map(is_filler, long)):
+        return 0
+    junk = [is_junk(x) for x in lines]
+    return int(any(junk) and 4 * sum(len(x) for x, j in zip(lines, junk) if not j and x.count(" ") >= 7) < len(text))
 
 
 def features(texts: list[str], titles: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -128,16 +114,22 @@ def features(texts: list[str], titles: list[str]) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(rows), np.concatenate(cols).view(np.int64)
 
 
+def row_norm(rows: np.ndarray, n: int) -> np.ndarray:
+    """Long values hold more features, so each weighs less in them."""
+    return 8 / np.sqrt(np.maximum(1, np.bincount(rows, minlength=n)))
+
+
 class Linear:
     """Logistic regression with an L1 penalty; most weights are zero, so scoring touches few features."""
 
     size = (1 << BITS) + 16
 
     def __init__(self):
-        self.w, self.b, self.likely = np.zeros(self.size, np.float32), 0.0, LIKELY
+        self.w, self.b, self.threshold = np.zeros(self.size, np.float32), 0.0, 0.5
 
     def fit(self, rows: np.ndarray, cols: np.ndarray, y: np.ndarray, penalty: float = 0.03, steps: int = 80) -> Linear:
         """Accelerated proximal gradient steps; classes weigh alike, features as one over the root of their count."""
+        norm = row_norm(rows, len(y))
         key = distinct(rows * self.size + cols)
         rows, cols = key // self.size, key % self.size
         often = np.bincount(cols, minlength=self.size)
@@ -148,7 +140,7 @@ class Linear:
         del key, keep
         n, d = len(y), len(used)
         scale = 1 / np.sqrt(often[used])
-        x = scale[cols]
+        x = (scale[cols] * norm[rows]).astype(np.float32)
         share = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
         v = np.ones(d)
         for _ in range(8):  # the largest curvature, by power iteration
@@ -168,30 +160,65 @@ class Linear:
             z, zb = new + (t - 1) / t2 * (new - w), nb + (t - 1) / t2 * (nb - b)
             w, b, t = new, nb, t2
         self.w[used], self.b = w * scale, b
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(rows, self.w[used][cols], n) + b, -30, 30)))
-        self.likely = min(LIKELY, float(np.quantile(p, 1 - LIKELIEST)))
+        return self
+
+    def tuned(self, p: np.ndarray, y: np.ndarray) -> Linear:
+        """The threshold with the fewest errors on values it has not seen, in the middle of the widest gap that has."""
+        if 0 < y.sum() < len(y):
+            o = np.argsort(p)
+            p, y = p[o], y[o]
+            errors = np.concatenate([[0], np.cumsum(y)]) + np.concatenate([np.cumsum((1 - y)[::-1])[::-1], [0]])
+            edges = np.concatenate([[0.0], p, [1.0]])
+            gap = np.where(errors == errors.min(), np.diff(edges), -1)
+            k = int(gap.argmax())
+            self.threshold = float((edges[k] + edges[k + 1]) / 2)
         return self
 
     def score(self, rows: np.ndarray, cols: np.ndarray, n: int) -> np.ndarray:
+        norm = row_norm(rows, n)
         keep = self.w[cols] != 0
         key = distinct(rows[keep] * self.size + cols[keep])
-        m = np.bincount(key // self.size, self.w[key % self.size], n) + self.b
+        m = np.bincount(key // self.size, self.w[key % self.size], n) * norm + self.b
         return 1 / (1 + np.exp(-np.clip(m, -30, 30)))
 
 
-def values_of(pdf: pd.DataFrame, won: Winners) -> tuple[list, list, list, list, list]:
-    """ids, fields, texts without furniture, titles and lines of the non-blank values in a batch of pages."""
-    ids, fields, texts, titles, lines = [], [], [], [], []
-    for r in rows_of(pdf):
-        title = r.title or ""
-        if r.content and r.content.strip():
-            raw, marks = won.marks(r.host, r.source, r.title, r.content, r.won(won))
-            rest = [x.strip() for x, m in zip(raw, marks) if not m and x.strip()]
-            ids.append(r.article_id), fields.append("content"), texts.append("\n".join(rest)), titles.append(title), lines.append(rest)
-        if r.error_message and r.error_message.strip():
-            rest = [x.strip() for x in r.error_message.split("\n") if x.strip()]
-            ids.append(r.article_id), fields.append("error_message"), texts.append("\n".join(rest)), titles.append(""), lines.append(rest)
-    return ids, fields, texts, titles, lines
+class Values:
+    """The non-blank values of a batch of pages: ids, fields, texts without furniture, titles, lines, and the content's marks."""
+
+    def __init__(self, pdf: pd.DataFrame, won: Winners):
+        self.ids, self.fields, self.texts, self.titles, self.lines, self.marks, self.hosts = [], [], [], [], [], [], []
+        for r, raw, marks in marked(pdf, won):
+            if raw and r.content.strip():
+                self._add(r, "content", [x for x, m in zip(raw, marks) if not m and x], r.title or "", marks)
+            if r.error_message and r.error_message.strip():
+                self._add(r, "error_message", [x.strip() for x in r.error_message.split("\n") if x.strip()], "", None)
+
+    def _add(self, r, field: str, lines: list[str], title: str, marks: list[bool] | None) -> None:
+        self.ids.append(r.article_id), self.fields.append(field), self.texts.append("\n".join(lines)), self.titles.append(title)
+        self.lines.append(lines), self.marks.append(marks), self.hosts.append(r.host)
+
+    def of(self, field: str) -> list[int]:
+        return [i for i, f in enumerate(self.fields) if f == field]
+
+    def features(self, at: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        return features([self.texts[i] for i in at], [self.titles[i] for i in at])
+
+    def residue(self, models: tuple[Linear, Linear]) -> np.ndarray:
+        """Whether each value is residue: by its classifier, or by unfilled template syntax."""
+        case = np.zeros(len(self.ids), bool)
+        for field, model in zip(FIELDS, models):
+            at = self.of(field)
+            for i in range(0, len(at), 256):
+                some = at[i : i + 256]
+                p = model.score(*self.features(some), len(some))
+                case[some] = p > model.threshold
+                for k, sure in zip(some, case[some]):
+                    if not sure and has_placeholder(self.texts[k]):
+                        case[k] = True
+        return case
+
+
+FIELDS = ("content", "error_message")
 
 
 def fit(articles: DataFrame, won: Winners, each: DataFrame | None) -> tuple[Linear, Linear]:
@@ -199,35 +226,23 @@ def fit(articles: DataFrame, won: Winners, each: DataFrame | None) -> tuple[Line
     n = articles.count()
     rate = min(1.0, SAMPLE_ROWS / max(1, n))
     picked = articles.where(F.pmod(F.xxhash64("article_id", F.lit("fit")), F.lit(1 << 20)) < int(rate * (1 << 20)) + 1) if rate < 1 else articles
-    pdf = pages_with_paths(picked, each).limit(SAMPLE_ROWS).toPandas()
-    _, fields, texts, titles, lines = values_of(pdf, won)
-    del pdf
-    models = []
-    for field in ("content", "error_message"):
-        at = [i for i, f in enumerate(fields) if f == field]
-        y = np.array([weak_label(field, texts[i], lines[i]) for i in at], float)
-        model = Linear()
-        if at and 0 < y.sum() < len(y):
-            model.fit(*features([texts[i] for i in at], [titles[i] for i in at]), y)
-        models.append(model)  # without both classes every value scores 0.5 and is verified
-    return models[0], models[1]
-
-
-def score_values(pdf: pd.DataFrame, won: Winners, models: tuple[Linear, Linear]) -> tuple[list, list, np.ndarray, list]:
-    """ids, fields, verdicts and lines of a batch of pages."""
-    ids, fields, texts, titles, lines = values_of(pdf, won)
-    case = np.zeros(len(ids), bool)
-    for field, model in zip(("content", "error_message"), models):
-        at = [i for i, f in enumerate(fields) if f == field]
-        if not at:
-            continue
-        for i in range(0, len(at), 512):
-            some = at[i : i + 512]
-            p = model.score(*features([texts[k] for k in some], [titles[k] for k in some]), len(some))
-            for j in np.flatnonzero(p > model.likely):
-                k = some[j]
-                case[k] = verified(field, texts[k], lines[k])
-    return ids, fields, case, lines
+    values = Values(pages_with_paths(picked, each).limit(SAMPLE_ROWS).toPandas(), won)
+    return tuple(fit_field(values, field) for field in FIELDS)
+
+
+def fit_field(values: Values, field: str) -> Linear:
+    """A classifier of one field: fitted on most hosts, its threshold chosen on those kept back."""
+    at = values.of(field)
+    y = np.array([weak_label(field, values.texts[i], values.lines[i]) for i in at], float)
+    back = np.array([digest(values.hosts[i]) % KEPT_BACK == 0 for i in at], bool)
+    model = Linear()
+    if not at or not 0 < y[~back].sum() < (~back).sum():  # one class only: no value is residue by its words
+        model.threshold = 1.0
+        return model
+    some = [k for k in np.flatnonzero(~back) if y[k]] + sorted((k for k in np.flatnonzero(~back) if not y[k]), key=lambda k: digest(f"{values.ids[at[k]]}"))[:FIT_OTHERS]
+    model.fit(*values.features([at[k] for k in some]), y[some])
+    kept = [i for i, b in zip(at, back) if b]
+    return model.tuned(model.score(*values.features(kept), len(kept)), y[back]) if kept else model
 
 
 def residue_values(articles: DataFrame) -> DataFrame:
@@ -237,8 +252,8 @@ def residue_values(articles: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            ids, fields, case, _ = score_values(pdf, won, models)
-            at = np.flatnonzero(case)
-            yield pd.DataFrame([(ids[i], fields[i]) for i in at], columns=["article_id", "field_name"])
+            values = Values(pdf, won)
+            at = np.flatnonzero(values.residue(models))
+            yield pd.DataFrame([(values.ids[i], values.fields[i]) for i in at], columns=["article_id", "field_name"])
 
     return pages_with_paths(articles, each).mapInPandas(run, "article_id bigint, field_name string")
