@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -279,18 +280,68 @@ def test_pairs_against_brute_force(spark):
     assert len(got) == len(set(got)) and set(got) == want and len(want) > 40
 
 
-def test_pairs_cut_by_range(spark, monkeypatch):
-    """Classes cut into ranges, and ids joined instead of sent, give the same pairs."""
-    rng = np.random.default_rng(4)
-    base = [f"w{int(x)}" for x in rng.integers(0, 400, 120)]
-    texts = [" ".join(edited(rng, base, s)) for s in np.linspace(0, 0.3, 25)]
-    df = spark.createDataFrame(gram_sets(list(range(25)), texts), near._SETS)
+def random_copies(seed, n, words=120, most=0.3):
+    rng = np.random.default_rng(seed)
+    base = [f"w{int(x)}" for x in rng.integers(0, 400, words)]
+    return [" ".join(edited(rng, base, s)) for s in np.linspace(0, most, n)]
+
+
+def test_pairs_cut_into_blocks_and_turns(spark, monkeypatch):
+    """More classes, classes cut into blocks of rows, events in turns, and ids joined instead of sent give the same pairs."""
+    df = spark.createDataFrame(gram_sets(list(range(25)), random_copies(4, 25)), near._SETS)
     want = sorted(map(tuple, pairs_of_sets(df).collect()))
+    assert want
     monkeypatch.setattr(near, "_HELD", 50)
+    monkeypatch.setattr(near, "_EVENTS", 20)
+    assert sorted(map(tuple, pairs_of_sets(df).collect())) == want
+    monkeypatch.setattr(near, "POSTINGS", 40)
+    assert near.cut_of(25 * 118)[0] == 64 and near.cut_of(2 * 64 * 200)[1] == 10
     assert sorted(map(tuple, pairs_of_sets(df).collect())) == want
-    monkeypatch.setattr(near, "POSTINGS", 20)
+    monkeypatch.setattr(near, "POSTINGS", 4)
     monkeypatch.setattr(near, "SENT_IDS", 0)
-    assert sorted(map(tuple, pairs_of_sets(df).collect())) == want and want
+    assert sorted(map(tuple, pairs_of_sets(df).collect())) == want
+
+
+def test_candidates_alike_however_cut(spark, monkeypatch):
+    """Blocks let through the candidates of uncut classes and no others; the further orders reject candidates and no case."""
+    rng = np.random.default_rng(8)
+    parts = [" ".join(f"w{int(x)}" for x in rng.integers(0, 4000, 30)) for _ in range(40)]
+    texts = [" ".join(parts[int(k)] for k in rng.choice(40, 4, replace=False)) for _ in range(150)] + random_copies(5, 20)
+    sets = spark.createDataFrame(gram_sets(list(range(len(texts))), texts), near._SETS).cache()
+    total = sets.agg(F.sum("n")).first()[0]
+    sketch = spark.sparkContext.broadcast(near.frequency_sketch(sets, total))
+    one = near.candidates(sets, sketch, total)
+    uncut = {tuple(r) for r in one.collect()}
+    monkeypatch.setattr(near, "MOST_CLASSES", 8)
+    monkeypatch.setattr(near, "POSTINGS", 200)
+    assert near.cut_of(total)[0] == 8 and near.cut_of(total)[1] > 4
+    assert {tuple(r) for r in near.candidates(sets, sketch, total).collect()} == uncut
+    pdf = sets.toPandas()
+    signed = pd.concat(list(near._signatures([pdf])))
+    pairs = pd.DataFrame(sorted(uncut), columns=["a", "b"])
+    for x in "ab":
+        pairs = pairs.merge(signed.rename(columns={"article_id": x, **{c: f"{c}_{x}" for c in ("n", "p2", "p3")}}), on=x)
+    kept = {(int(a), int(b)) for out in near._intersected([pairs]) for a, b in out.itertuples(index=False)}
+    of = [set(np.frombuffer(g, np.uint32).tolist()) for g in pdf["grams"]]
+    cases = {(a, b) for a, b in uncut if 2 * len(of[a] & of[b]) > len(of[a] | of[b])}
+    assert cases <= kept and len(kept) < len(uncut)
+
+
+def test_hot_group(spark, monkeypatch):
+    """20,000 copies of a text, and 300 edited ones: a row each, with links between different texts only."""
+    texts = random_copies(6, 300, most=0.1)
+    sets = gram_sets(list(range(300)), texts)
+    hot = pd.concat([sets, *[sets.iloc[[0]].assign(article_id=k) for k in range(1000, 21_000)]])
+    monkeypatch.setattr(near, "_HELD", 20_000)
+    df = spark.createDataFrame(hot, near._SETS)
+    rows = {r.article_id: (r.class_id, r.copies, r.links) for r in near.classes_of_sets(df).collect()}
+    of = {}
+    for k, g in zip(sets["article_id"], sets["grams"]):
+        of.setdefault(g, k)
+    reps = {k: set(np.frombuffer(g, np.uint32).tolist()) for g, k in of.items()}
+    want = {k: sum(2 * len(a & b) > len(a | b) for j, b in reps.items() if j != k) for k, a in reps.items()}
+    assert len(rows) == 20_300 and rows[20_999] == rows[0] and rows[0][1] >= 20_001
+    assert {k: rows[k][2] for k in reps} == want
 
 
 def test_near_copies_leave_furniture_out(spark):
