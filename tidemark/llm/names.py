@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
-from itertools import permutations
+from itertools import combinations, permutations
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -148,6 +148,10 @@ def less_one(word: str) -> set[str]:
     return {word[:i] + word[i + 1 :] for i in range(len(word))} | {word}
 
 
+def less_two(word: str) -> set[str]:
+    return {v for u in less_one(word) for v in less_one(u)}
+
+
 def shards_of(core: str) -> Iterator[tuple[str, str, str]]:
     """shard, the word by which, the rest: whole words, words less a letter, and the name run together."""
     words = core.split(" ")
@@ -163,6 +167,31 @@ def shards_of(core: str) -> Iterator[tuple[str, str, str]]:
         run = "".join(p)
         for v in less_one(run) if allowed(letters) else {run}:
             yield f"j{v}", run, ""
+    run = "".join(words)
+    if len(words) == 1 and allowed(letters) >= 2:
+        for v in less_two(run):
+            yield f"t{v}", run, ""
+    if len(words) > 3 or len(words) == 1 and letters >= NO_EDIT_BELOW:  # one of many words run together in another order
+        for v in less_one("".join(sorted(run))):
+            yield f"a{v}", core, ""
+
+
+def reordered(words: list[str], run: str, most: int) -> bool:
+    """Is a run of letters the words in some order, within most edits? Orders are left as soon as their beginning does not fit."""
+
+    def go(done: str, left: list[str]) -> bool:
+        if not left:
+            return osa(done, run, most) <= most
+        for w in sorted(set(left)):
+            new = done + w
+            if any(osa(new, run[: max(0, len(new) + k)], most) <= most for k in range(-most, most + 1)):
+                rest = list(left)
+                rest.remove(w)
+                if go(new, rest):
+                    return True
+        return False
+
+    return go("", words)
 
 
 def _shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -171,20 +200,54 @@ def _shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["shard", "core", "word", "rest"])
 
 
-def _shard_links(names: list[tuple[int, str, str, str]]) -> Iterator[tuple[str, str]]:
-    """Links among the names of one shard: those of the left block against the trie of the right."""
-    trie = Trie()
+def _apart(words: list[str]) -> Iterator[tuple[str, tuple[str, ...]]]:
+    """Of more than three words, those shared by name (in sorted order) and up to EDITS others, which edits may touch."""
+    for r in range(EDITS + 1):
+        for out in combinations(range(len(words)), r):
+            yield " ".join(sorted(w for i, w in enumerate(words) if i not in out)), tuple(words[i] for i in out)
+
+
+def _shard_links(names: list[tuple[int, str, str, str]], runs: bool = False) -> Iterator[tuple[str, str]]:
+    """Links among the names of one shard: those of the left block against the tries of the right.
+
+    Up to three words go into the trie in every order. Of more, all but EDITS have to be equal, whatever their order: there
+    is a trie for each such choice, with the others in every order.
+    """
+    if runs:
+        yield from _run_links(names)
+        return
+    tries: dict[str | None, Trie] = {}
     for side, core, word, rest in names:
         if side != 0:
-            for p in permutations(rest.split(" ")) if rest.count(" ") < 3 else (rest.split(" "),):
-                trie.add(" ".join(p), (core, word))
+            words = rest.split(" ")
+            if len(words) > 3:
+                tries.setdefault(None, Trie()).add(rest, (core, word))
+                for equal, others in _apart(words):
+                    for p in set(permutations(others)):
+                        tries.setdefault(equal, Trie()).add(" ".join(p), (core, word))
+            else:
+                for p in set(permutations(words)):
+                    tries.setdefault(None, Trie()).add(" ".join(p), (core, word))
     for side, core, word, rest in names:
         if side == 1:
             continue
         most = allowed(len(core.replace(" ", "")))
-        for (other, w), n in trie.within(rest, most if rest else 0):
-            if other != core and n + (0 if w == word else osa(w, word, most)) <= most:
-                yield (core, other) if core < other else (other, core)
+        words = rest.split(" ")
+        walks = [(None, rest)] + ([(equal, " ".join(others)) for equal, others in _apart(words)] if len(words) > 3 else [])
+        for key, text in walks:
+            for (other, w), n in tries[key].within(text, most if rest else 0) if key in tries else ():
+                if other != core and n + (0 if w == word else osa(w, word, most)) <= most:
+                    yield (core, other) if core < other else (other, core)
+
+
+def _run_links(names: list[tuple[int, str, str, str]]) -> Iterator[tuple[str, str]]:
+    """Links of a shard of equal letters: names run together with those of many words."""
+    for side, core, *_ in names:
+        for other_side, other, *_ in names:
+            if side != 1 and other_side != 0 and core != other and (" " in core) != (" " in other):
+                words, run = (core, other) if " " in core else (other, core)
+                if reordered(words.split(" "), run, allowed(len(run))):
+                    yield (core, other) if core < other else (other, core)
 
 
 def _links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -194,11 +257,11 @@ def _links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: set[tuple[str, str]] = set()
         for k, side, core, word, rest in zip(zip(pdf["shard"], pdf["left"], pdf["right"]), pdf["side"], pdf["core"], pdf["word"], pdf["rest"]):
             if k != key:
-                found.update(_shard_links(names))
+                found.update(_shard_links(names, key is not None and key[0][0] == "a"))
                 key, names = k, []
             names.append((side, core, word, rest))
         yield pd.DataFrame(sorted(found), columns=["a", "b"])
-    yield pd.DataFrame(sorted(set(_shard_links(names))), columns=["a", "b"])
+    yield pd.DataFrame(sorted(set(_shard_links(names, key is not None and key[0][0] == "a"))), columns=["a", "b"])
 
 
 def core_links(cores: DataFrame) -> DataFrame:
@@ -210,7 +273,9 @@ def core_links(cores: DataFrame) -> DataFrame:
     # A name of block i is on the left of pairs (i, j >= i) and on the right of pairs (j < i, i); in (i, i) on both.
     pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("own", j).alias("left"), F.greatest("own", j).alias("right"), F.when(F.col("own") == j, 2).when(F.col("own") < j, 0).otherwise(1).alias("side"))))
     rows = held.select("shard", "core", "word", "rest", pair.alias("p")).select("shard", "core", "word", "rest", "p.*")
-    rows = rows.repartition("shard", "left", "right").sortWithinPartitions("shard", "left", "right")
+    # A number given, so that small rows which take long are not put together in one task.
+    tasks = max(int(cores.sparkSession.conf.get("spark.sql.shuffle.partitions")), cores.sparkSession.sparkContext.defaultParallelism)
+    rows = rows.repartition(tasks, "shard", "left", "right").sortWithinPartitions("shard", "left", "right")
     return rows.mapInPandas(_links, "a string, b string").distinct()
 
 
@@ -282,10 +347,15 @@ def organisations(deals: DataFrame, aliases: DataFrame) -> DataFrame:
     sides = words.select("org", F.col("w1").alias("full_word"), F.col("w0").alias("other"), F.lit(True).alias("first")).union(words.select("org", "w0", "w1", F.lit(False)))
     fits = short.join(sides, ["full_word", "first"]).where(F.expr("startswith(other, part)")).groupBy("name").agg(F.min("org").alias("org"), F.max("org").alias("most"))
     fits = fits.where("org = most").select("name", "org")
-    single = parsed.where("kind = 'single'").select("name", "full_word", "core")
+    single = parsed.where("kind = 'single'").select("name", "n", "full_word", "core")
     alone = single.join(firsts, "full_word").select("name", "org")
     run = single.join(typos_of_runs(single, org), "core").select("name", "org")
-    every = [(canon, 0), (by_name.select("name", "org"), 1), (run, 2), (fits, 3), (alone, 4)]
+    # Single words that begin or make up no organisation's name are names of their own, with their own typos.
+    begun = words.select(F.col("w0").alias("full_word")).union(org.select(F.replace("core", F.lit(" "), F.lit(""))))
+    own = stage(single.join(begun, "full_word", "left_anti"), "singles")
+    lone = own.groupBy("core").agg(F.sum("n").alias("n"))
+    lone = own.join(representatives(lone, stage(core_links(lone), "links")), "core").select("name", F.concat(F.lit("1:"), "org").alias("org"))
+    every = [(canon, 0), (by_name.select("name", "org"), 1), (run, 2), (fits, 3), (alone, 4), (lone, 5)]
     pool = None
     for df, rank in every:
         df = df.withColumn("rank", F.lit(rank))
