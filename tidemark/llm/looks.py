@@ -21,11 +21,11 @@ from pyspark.sql.types import StringType
 
 from tidemark.session import stage
 
-#: Look-alike letters of Cyrillic and Greek and the Latin ones they show as. Fixed values.
+#: Look-alike letters of Cyrillic, Greek, Armenian, Cherokee and phonetic script and the Latin ones they show as. Fixed values.
 LOOKS = dict(
     zip(
-        "аеорсухіѕјԁһԛԝӏАВЕКМНОРСТХІЅЈԚԜΑΒΕΖΗΙΚΜΝΟΡΤΥΧονϲϳօ",
-        "aeopcyxisjdhqwlABEKMHOPCTXISJQWABEZHIKMNOPTYXovcjo",
+        "аеорсухіѕјԁһԛԝӏѵАВЕКМНОРСТХІЅЈԚԜΑΒΕΖΗΙΚΜΝΟΡΤΥΧονϲϳօɡᎪᏴᏟᎠᎬᎻᎫᏦᏞᎷᏢᏚᎢᏙᎳᏃ",
+        "aeopcyxisjdhqwlvABEKMHOPCTXISJQWABEZHIKMNOPTYXovcjogABCDEHJKLMPSTVWZ",
         strict=True,
     )
 )
@@ -34,6 +34,8 @@ _SHOWN = ("<super>", "<sub>", "<fraction>", "<circle>", "<square>")
 _HYPHENS = (0x2010, 0x2011, 0xFE63, 0xFF0D)
 _HIDDEN = {0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x3164, 0xFFA0, *range(0x180B, 0x180F), *range(0xFE00, 0xFE10), *range(0xE0100, 0xE01F0)}
 _HANGUL = range(0xAC00, 0xD7A4)
+#: Separate letters of Hangul, which show as such and never as a syllable.
+_LETTERS = range(0x3131, 0x318F)
 _TOP = 0x110000
 
 
@@ -41,6 +43,8 @@ def _expand(cp: int) -> list[int]:
     """What one code point is brought to, decomposed fully."""
     if cp in _HIDDEN or unicodedata.category(chr(cp)) == "Cf":
         return []
+    if cp in _LETTERS:
+        return [cp]
     if cp in _HYPHENS:
         return [0x2D]
     if unicodedata.category(chr(cp)) == "Zs":
@@ -118,11 +122,29 @@ def one_form(texts: list[str]) -> list[str]:
         keep = np.ones(len(out), bool)
         keep[second] = False
         out, owner = out[keep], owner[keep]
+    out, owner = _syllables(out, owner)
     whole = out.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
     ends = np.cumsum(np.bincount(owner, minlength=len(texts)))
     return [whole[a:b] for a, b in zip(np.concatenate([[0], ends[:-1]]).tolist(), ends.tolist())]
 
 
+def _syllables(cp: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hangul syllables written as two or three conjoining letters as one, by their arithmetic rule."""
+    for first, second, made in (
+        (lambda a: (a >= 0x1100) & (a <= 0x1112), lambda b: (b >= 0x1161) & (b <= 0x1175), lambda a, b: 0xAC00 + ((a - 0x1100) * 21 + b - 0x1161) * 28),
+        (lambda a: (a >= 0xAC00) & (a <= 0xD7A3) & ((a - 0xAC00) % 28 == 0), lambda b: (b >= 0x11A8) & (b <= 0x11C2), lambda a, b: a + b - 0x11A7),
+    ):
+        x = cp.astype(np.int64)
+        at = np.flatnonzero(first(x[:-1]) & second(x[1:]) & (owner[1:] == owner[:-1]))
+        if len(at):
+            cp = cp.copy()
+            cp[at] = made(x[at], x[at + 1])
+            keep = np.ones(len(cp), bool)
+            keep[at + 1] = False
+            cp, owner = cp[keep], owner[keep]
+    return cp, owner
+
+
 @F.pandas_udf(StringType())
 def _form(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for s in parts:
@@ -141,6 +163,13 @@ def consistent_text(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", _form("text").alias("text"))
 
 
+def look_alike_classes(documents: DataFrame) -> DataFrame:
+    """doc_id, class_id, spellings: each text with the least id of those that look the same, and in how many ways these are written. Null texts are left out."""
+    docs = stage(documents.where("text is not null").select("doc_id", F.unhex(F.md5("text")).alias("own"), F.unhex(F.md5(_form("text"))).alias("form")), "forms")
+    ways = docs.groupBy("form", "own").agg(F.min("doc_id").alias("least")).groupBy("form").agg(F.min("least").alias("class_id"), F.count("*").alias("spellings"))
+    return docs.join(ways, "form").select("doc_id", "class_id", "spellings")
+
+
 def look_alikes(documents: DataFrame) -> DataFrame:
     """doc_id_a < doc_id_b of documents whose texts differ in characters and have one form.
 

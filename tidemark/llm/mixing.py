@@ -7,7 +7,6 @@ no record is ever sorted.
 
 from __future__ import annotations
 
-import importlib.util
 from collections.abc import Iterator
 from functools import cache
 from pathlib import Path
@@ -21,6 +20,8 @@ from tidemark.session import stage
 
 #: Where the public vocabulary files lie, and the one counted with.
 TOKENIZERS, VOCABULARY = "/opt/tokenizers", "byte_bpe_50k.tiktoken"
+#: How that vocabulary's texts are cut before merging. Fixed pattern.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Bits of the hash that one histogram resolves; LEVELS of them resolve the hash.
 BITS, LEVELS = 12, 5
 
@@ -31,12 +32,9 @@ def _encoder(folder: str, name: str):
 
     import tiktoken
 
-    spec = importlib.util.spec_from_file_location("_vocabularies", Path(folder, "__init__.py"))
-    found = importlib.util.module_from_spec(spec)
-    spec.loader.exec_module(found)
     with open(Path(folder, name), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding(name, pat_str=found.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding(name, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 def token_count(text: Column, folder: str = TOKENIZERS, name: str = VOCABULARY) -> Column:

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.leaks import leak_report, leaked_items
-from tidemark.llm.looks import consistent_text, look_alikes
+from tidemark.llm.looks import consistent_text, look_alike_classes, look_alikes
 from tidemark.llm.mixing import mixed_records, reached_shares
 from tidemark.llm.names import organisations, variant_pairs
-from tidemark.llm.near import near_copies
+from tidemark.llm.near import near_classes, near_copies
 from tidemark.llm.pages import main_body_lines, template_residue
 from tidemark.llm.repeated import repeated_lines, without_repeated
 from tidemark.session import table
@@ -18,6 +18,11 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(table(spark, sf_dir, "articles"))
 
 
+def p1_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as membership: a row a text, with its class and number of links."""
+    return near_classes(table(spark, sf_dir, "articles"))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_body_lines(table(spark, sf_dir, "articles"))
 
@@ -63,6 +68,11 @@ def p9_capped_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reached_shares(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
 
 
+def p9_capped_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of that mix."""
+    return mixed_records(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return look_alikes(table(spark, sf_dir, "documents"))
 
@@ -71,7 +81,11 @@ def p10_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consistent_text(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_organisations, p6_found, p6_rebuilt, p7_found, p8_found, p8_report, p9_mix, p9_shares, p9_capped_shares, p10_found, p10_texts)}
+def p10_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return look_alike_classes(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_classes, p2_found, p3_found, p3_organisations, p6_found, p6_rebuilt, p7_found, p8_found, p8_report, p9_mix, p9_shares, p9_capped_shares, p9_capped_mix, p10_found, p10_classes, p10_texts)}
 
 _P6_LINES = r"""
 pages AS (SELECT article_id, source, content FROM articles WHERE source IS NOT NULL),
