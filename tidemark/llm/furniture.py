@@ -42,7 +42,7 @@ SENT_PATHS = 1_000_000
 #: Lines whose slots a worker remembers, and pages it cuts at a time.
 CACHED, PAGES = 200_000, 128
 
-_VOTES = "host bigint, path bigint, story bigint, score int, next bigint, sentence boolean"
+_VOTES = "host bigint, path bigint, story int, score tinyint, next tinyint, sentence boolean"
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 
 
@@ -80,7 +80,7 @@ def _votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _vote(pdf: pd.DataFrame, slots: Slots) -> pd.DataFrame:
-    """Per page: a row of path 0, and one of each of its paths with its score and the headline after it."""
+    """Per page: a row of path 0, and one of each of its paths with its score and 6 bits of the headline after it, or -1."""
     names = [site_names(s, h) for s, h in zip(pdf["source"], pdf["host"])]
     titles, contents = pdf["title"].tolist(), pdf["content"].tolist()
     cut = Cut(list(zip(titles, contents, names)))
@@ -88,13 +88,13 @@ def _vote(pdf: pd.DataFrame, slots: Slots) -> pd.DataFrame:
     own = cut.digests[np.array(cut.starts[:-1], np.int64)]
     d = cut.digests[at]
     # The line after each line, where it is a headline and not of the page's own story.
-    follows = np.zeros(len(at), np.int64)
+    follows = np.full(len(at), -1, np.int64)
     could = np.flatnonzero(~cut.ended[at[1:]] & (page[1:] == page[:-1]) & (d[1:] != own[page[1:]])) + 1
     lines = cut.lines
     for k in could.tolist():
         line = lines[at[k]]
         if headline_like(line) and not same_story(line, titles[page[k]], names[page[k]]):
-            follows[k - 1] = d[k]
+            follows[k - 1] = d[k] & 63
     exact = pd.DataFrame({"page": page, "path": d, "score": score, "next": follows, "sentence": cut.sentence[at]})
     keys = [tuple(n) for n in names]
     ended, pages, owner, slot, pooled = cut.ended[at].tolist(), page.tolist(), [], [], []
@@ -102,13 +102,13 @@ def _vote(pdf: pd.DataFrame, slots: Slots) -> pd.DataFrame:
         for x, several in slots.of(keys[p], names[p], lines[m], ended[k]):
             owner.append(k), slot.append(x), pooled.append(several)
     owner = np.array(owner, np.int64)
-    slotted = pd.DataFrame({"page": page[owner], "path": np.array(slot, np.int64), "score": score[owner], "next": np.zeros(len(owner), np.int64), "sentence": np.array(pooled, bool)})
+    slotted = pd.DataFrame({"page": page[owner], "path": np.array(slot, np.int64), "score": score[owner], "next": np.full(len(owner), -1), "sentence": np.array(pooled, bool)})
     n = len(pdf)
-    whole = pd.DataFrame({"page": np.arange(n), "path": np.zeros(n, np.int64), "score": np.full(n, 16), "next": np.zeros(n, np.int64), "sentence": np.zeros(n, bool)})
+    whole = pd.DataFrame({"page": np.arange(n), "path": np.zeros(n, np.int64), "score": np.full(n, 16), "next": np.full(n, -1), "sentence": np.zeros(n, bool)})
     out = pd.concat([whole, exact, slotted]).drop_duplicates(["page", "path"])
-    story = np.array([digest(story_of(t, c)) for t, c in zip(titles, contents)], np.int64)
+    story = np.array([digest(story_of(t, c)) >> 32 for t, c in zip(titles, contents)], np.int32)
     who = out["page"].to_numpy()
-    return pd.DataFrame({"host": pdf["host_key"].to_numpy(np.int64)[who], "path": out["path"].to_numpy(), "story": story[who], "score": out["score"].to_numpy(np.int32), "next": out["next"].to_numpy(), "sentence": out["sentence"].to_numpy()})
+    return pd.DataFrame({"host": pdf["host_key"].to_numpy(np.int64)[who], "path": out["path"].to_numpy(), "story": story[who], "score": out["score"].to_numpy(np.int8), "next": out["next"].to_numpy(np.int8), "sentence": out["sentence"].to_numpy()})
 
 
 @lru_cache(4096)
@@ -151,9 +151,9 @@ def wilson_low(n: F.Column, total: F.Column, z: float = 1.96) -> F.Column:
 def host_paths(articles: DataFrame) -> tuple[DataFrame, DataFrame]:
     """host, path, head: the winning paths of each host; path, head: sentences and labels that win everywhere. Both staged."""
     pages = articles.select(F.xxhash64(host_of()).alias("host_key"), host_of().alias("host"), "source", "title", "content")
-    votes = pages.mapInPandas(_votes, _VOTES).groupBy("host", "path", "story").agg(F.count("*").alias("n"), F.sum("score").alias("score"), F.count_if(F.col("next") != 0).alias("follows"), F.max("next").alias("next"), F.max("sentence").alias("sentence"))
-    seen = F.when(F.col("next") != 0, F.expr("shiftleft(1L, cast(next & 63 as int))")).otherwise(F.lit(0).cast("long"))
-    votes = votes.groupBy("host", "path").agg(*(F.sum(c).alias(c) for c in ("n", "score", "follows")), F.count("*").alias("stories"), F.bit_count(F.bit_or(seen)).alias("heads"), F.count_if(F.col("next") != 0).alias("listed"), F.max("sentence").alias("sentence"), F.bit_or(F.expr("shiftleft(1L, cast(story & 63 as int))")).alias("tells"))
+    votes = pages.mapInPandas(_votes, _VOTES).groupBy("host", "path", "story").agg(F.count("*").alias("n"), F.sum("score").alias("score"), F.count_if(F.col("next") >= 0).alias("follows"), F.max("next").alias("next"), F.max("sentence").alias("sentence"))
+    seen = F.when(F.col("next") >= 0, F.expr("shiftleft(1L, cast(next as int))")).otherwise(F.lit(0).cast("long"))
+    votes = votes.groupBy("host", "path").agg(*(F.sum(c).alias(c) for c in ("n", "score", "follows")), F.count("*").alias("stories"), F.bit_count(F.bit_or(seen)).alias("heads"), F.count_if(F.col("next") >= 0).alias("listed"), F.max("sentence").alias("sentence"), F.bit_or(F.expr("shiftleft(1L, cast(story & 63 as int))")).alias("tells"))
     votes = stage(votes.where("path = 0 or n >= 4 or sentence"), "votes")
     total = votes.where("path = 0").select("host", F.col("n").alias("total"), F.col("stories").alias("told"))
     # In stories: those with the path, but no more than by its share of pages, as many pages may share few stories.

@@ -18,7 +18,7 @@ from pyspark.sql.types import LongType
 
 from tidemark.session import stage
 
-#: Where the public vocabulary files lie, and the one counted with.
+#: Where the public vocabulary files lie unless spark.tidemark.tokenizers names another folder, and the one counted with.
 TOKENIZERS, VOCABULARY = "/opt/tokenizers", "byte_bpe_50k.tiktoken"
 #: How that vocabulary's texts are cut before merging. Fixed pattern.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -108,8 +108,8 @@ def thresholds(sized: DataFrame, plan: DataFrame) -> DataFrame:
     return out.unionByName(left.select("source", "below"))
 
 
-def _mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None, folder: str, keep_shares: bool) -> tuple[DataFrame, DataFrame]:
-    sized = _sized(documents, targets, folder)
+def _mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None, folder: str | None, keep_shares: bool) -> tuple[DataFrame, DataFrame]:
+    sized = _sized(documents, targets, folder or documents.sparkSession.conf.get("spark.tidemark.tokenizers", TOKENIZERS))
     plan = stage(budgets(sized, targets, total_tokens, keep_shares), "plan")
     cut = plan.join(thresholds(sized, plan), "source", "left")
     # One row a source, of eight numbers: a table of sources is small by kind, but its size is left to the planner.
@@ -118,7 +118,7 @@ def _mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None, fol
     return records.select("doc_id", "source", "n_tokens", copies.alias("copies")).where("copies > 0"), plan
 
 
-def mixed_records(documents: DataFrame, targets: DataFrame, total_tokens: int | None = None, folder: str = TOKENIZERS, keep_shares: bool = False) -> DataFrame:
+def mixed_records(documents: DataFrame, targets: DataFrame, total_tokens: int | None = None, folder: str | None = None, keep_shares: bool = False) -> DataFrame:
     """doc_id, source, n_tokens, copies of every record in the mix, copies at most the source's max_repeats.
 
     Sources without target, null sources and null texts stay out; a record without tokens may come along. Rows
@@ -127,7 +127,7 @@ def mixed_records(documents: DataFrame, targets: DataFrame, total_tokens: int |
     return _mix(documents, targets, total_tokens, folder, keep_shares)[0]
 
 
-def reached_shares(documents: DataFrame, targets: DataFrame, total_tokens: int | None = None, folder: str = TOKENIZERS, keep_shares: bool = False) -> DataFrame:
+def reached_shares(documents: DataFrame, targets: DataFrame, total_tokens: int | None = None, folder: str | None = None, keep_shares: bool = False) -> DataFrame:
     """source, target_share, tokens, mixed_tokens, records, actual_share of every source with a target."""
     mixed, plan = _mix(documents, targets, total_tokens, folder, keep_shares)
     by = mixed.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("mixed_tokens"), F.count("*").alias("records"))
