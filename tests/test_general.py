@@ -2,10 +2,12 @@
 
 import json
 
+import numpy as np
 import pytest
 
 from tidemark.functions.units import distance, resolve
 from tidemark.functions.zones import local_to_utc, transitions, version
+from tidemark.operators import amounts, extractions, instants
 from tidemark.operators.amounts import figure, usd_amounts
 from tidemark.operators.instants import utc_instants
 
@@ -104,3 +106,43 @@ def test_amounts(spark):
     got = {r.extraction_id: r.usd_amount for r in usd_amounts(rows, rates).collect()}
     assert got == {i: w for i, (_, _, w) in enumerate(AMOUNTS) if w}
     assert usd_amounts(rows.limit(0), rates).count() == 0
+
+
+def test_long_instants(spark):
+    """No length is too long: a fraction of a hundred figures, and one with a long zone, are instants."""
+    values = [f"2024-03-01T10:00:00.{'1' * 100}Z", f"2024-03-01T10:00:00.{'7' * 60}[Europe/Berlin]", "9" * 100_000, "x" * 100_000]
+    rows = spark.createDataFrame([(i, "https://a.org/1", v, None, None) for i, v in enumerate(values)], "article_id bigint, url string, published_date string, lastmod string, fetched_at string")
+    sites = spark.createDataFrame([("A", "a.org", "UTC", "dmy", "en")], "source string, host string, tz string, date_order string, lang string")
+    got = {r.article_id: r.utc_time for r in instants.utc_instants(rows, sites).collect()}
+    assert got == {0: "2024-03-01T10:00:00Z", 1: "2024-03-01T09:00:00Z"}
+
+
+def test_large_figures(spark):
+    raw = [(1, '{"money": {"upfront_value": "¥100000000000000000000", "total_deal_value": 1e40}}'), (2, '{"money": {"upfront_value": 123456789012345678901234567890}}')]
+    rates = spark.createDataFrame([("JPY", "0.00670000"), ("USD", "1.00000000")], "currency string, r string").selectExpr("currency", "cast(r as decimal(18,8)) as rate")
+    got = [tuple(r) for r in amounts.usd_amounts(spark.createDataFrame(raw, "extraction_id bigint, raw_json string"), rates).collect()]
+    assert got == [(1, "upfront_value", 670000000000000000)]  # the others are beyond 64 bits
+
+
+def test_whole_replies(spark):
+    """All extractions of a reply count, under whatever key and in nested lists; a reply without any is told by its reason."""
+    one, two = ({"url": f"https://x/{k}", "parties": {"target": k, "acquirer": "B"}, "deal_type": "M&A", "date_announced": "2024-01-02"} for k in "PQ")
+    replies = [json.dumps({"answers": [one, two]}), json.dumps([[one], [[two]]]), json.dumps({"q": {"r": {"s": one}}}), json.dumps(one), json.dumps({"results": []}), "{cut off", None, json.dumps([None, 3, one])]
+    rows = spark.createDataFrame([(i, None, r) for i, r in enumerate(replies)], "extraction_id bigint, url string, raw_json string")
+    got = [(r.extraction_id, r.part, r.target, r.reject_reason) for r in extractions.validated(extractions.parsed(rows)).orderBy("extraction_id", "part").collect()]
+    assert got == [(0, 0, "P", None), (0, 1, "Q", None), (1, 0, "P", None), (1, 1, "Q", None), (2, 0, "P", None), (3, 0, "P", None), (4, 0, None, "parse_failed"), (5, 0, None, "null_extraction"), (6, 0, None, "null_extraction"), (7, 0, "P", None)]
+
+
+def test_rates_as_of(spark):
+    from datetime import date, timedelta
+
+    from tidemark.functions import money
+
+    rng = np.random.default_rng(2)
+    day = lambda k: date(2024, 1, 1) + timedelta(days=int(k))
+    rates = [(c, day(k), float(rng.integers(1, 99))) for c in "AB" for k in rng.integers(0, 90, 25)]
+    rows = [(i, "ABC"[i % 3], day(rng.integers(0, 90))) for i in range(60)] + [(99, None, None)]
+    got = {r.i: r.rate for r in money.as_of(spark.createDataFrame(rows, "i int, c string, d date"), spark.createDataFrame(rates, "c string, d date, rate double"), "c", "d", 7).collect()}
+    for i, c, d in rows:
+        near = [(rd, r) for rc, rd, r in rates if d and rc == c and 0 <= (d - rd).days <= 7]
+        assert got[i] == (max(near)[1] if near else None)

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.providers import HashingEmbedder, KeywordClassifier, RateLimited, RuleExtractor, embed, extract, quick_filter, retried, same_model, translated
@@ -187,15 +188,17 @@ def test_funnel_end_to_end(spark, tmp_path):
     assert [r[0] for r in df.select(stage_bucket()).collect()] == ["EARLY_STAGE", "MID_STAGE", "UNDISCLOSED", None, None, None]
     good = run(arts, stored, config, str(tmp_path / "stages")).withColumn("reject_reason", F.lit(None).cast("string")).withColumn("day", F.lit("2022-01-01").cast("date"))
     write(good, str(tmp_path / "sheets"), "onc area")
-    assert len(list((tmp_path / "sheets" / "deals_onc_area_UNDISCLOSED").iterdir())) == 1
+    (path,) = (tmp_path / "sheets").glob("*.xlsx")
+    assert path.name.startswith("deals_onc_area_UNDISCLOSED_2")
+    config.save(str(tmp_path / "config"))
+    assert Config.load(str(tmp_path / "config")) == config
 
 
 def test_workbook_opens(spark, sf, tmp_path):
     import zipfile
 
     deals = spark.read.parquet(f"{sf}/deals.parquet")
-    sheets.write_sheets(deals, str(tmp_path / "w"))
-    (path,) = (tmp_path / "w").iterdir()
+    (path,) = sheets.write_sheets(deals, str(tmp_path / "w"))
     with zipfile.ZipFile(path) as z:
         assert z.read("xl/worksheets/sheet1.xml").count(b"<row ") == deals.count() + 1
     lines = [r.value for r in sheets.evidence_lines(deals).collect()]
@@ -224,5 +227,115 @@ def test_command_line(spark, tmp_path):
     spark.createDataFrame([("https://a.org/1", "t", "d", "RSS"), ("https://new", "t", "d", "RSS"), ("https://new", "", "d", "Sitemap")], "url string, title string, published_date string, source string").write.parquet(str(tmp_path / "d"))
     main(["update", "--articles", str(tmp_path / "b"), "--discovered", str(tmp_path / "d"), "--out", str(tmp_path / "n")], spark)
     assert spark.read.parquet(str(tmp_path / "n")).count() == 6
+    spark.createDataFrame([("https://new", "<p>" + "word " * 200 + "</p>"), ("https://a.org/1", "<p>known</p>")], "url string, html string").write.parquet(str(tmp_path / "p"))
+    main(["update", "--articles", str(tmp_path / "b"), "--discovered", str(tmp_path / "d"), "--out", str(tmp_path / "m"), "--pages", str(tmp_path / "p"), "--start", "2020-01-01"], spark)
+    (new,) = spark.read.parquet(str(tmp_path / "m")).where("url = 'https://new'").collect()
+    assert new.content.startswith("word word") and new.embedding_status == "pending"
+    main(["embed", "--articles", str(tmp_path / "a"), "--out", str(tmp_path / "b2"), "--vectors", str(tmp_path / "v")], spark)
+    vecs = spark.read.parquet(str(tmp_path / "v"))
+    assert vecs.count() == vecs.select("article_id").distinct().count() == 4
     main(["reset", "--articles", str(tmp_path / "b"), "--out", str(tmp_path / "r"), "--vectors", str(tmp_path / "v"), "--yes"], spark)
     assert spark.read.parquet(str(tmp_path / "r")).where("embedding_status = 'pending'").count() == 5
+    assert spark.read.parquet(str(tmp_path / "v")).count() == 0
+
+
+def test_sitemap_indexes_in_indexes(spark, tmp_path):
+    def index(name, *locs):
+        (tmp_path / name).write_text("<sitemapindex>" + "".join(f"<sitemap><loc>{tmp_path / x}</loc></sitemap>" for x in locs) + "</sitemapindex>")
+
+    index("top.xml", "b.xml", "a.xml", "top.xml")
+    index("a.xml", "map1.xml", "b.xml")
+    index("b.xml", "map2.xml")
+    for k in (1, 2):
+        (tmp_path / f"map{k}.xml").write_text(f"<urlset><url><loc>https://c/{k}</loc></url></urlset>")
+    found = feeds.sitemaps_of(spark, str(tmp_path / "top.xml"))
+    assert sorted(found) == [str(tmp_path / f"map{k}.xml") for k in (1, 2)]
+    assert {r.url for r in feeds.sitemap(spark, found).collect()} == {"https://c/1", "https://c/2"}
+
+
+def test_polite_fetcher():
+    from tidemark.sources.pages import PoliteFetcher, Refused, StoredPages
+
+    now, slept = [0.0], []
+
+    def sleep(s):
+        slept.append(round(s, 3))
+        now[0] += s
+
+    class Guarded(StoredPages):
+        def fetch(self, url):
+            if "guard" in url:
+                raise Refused(url)
+            return super().fetch(url)
+
+    stored = Guarded({"https://a/robots.txt": "User-agent: *\nDisallow: /no\nCrawl-delay: 3", "https://a/1": "one", "https://a/no/2": "two", "https://a/c": "cloudflare Ray ID: 9"})
+    f = PoliteFetcher(stored, 1.0, fallback=StoredPages({"https://a/guard": "seen", "https://a/c": "real"}), clock=lambda: now[0], sleep=sleep)
+    assert [f.fetch(f"https://a/{x}") for x in ("1", "no/2", "guard", "c")] == ["one", None, "seen", "real"]
+    assert slept == [3.0, 3.0, 3.0] and f.fetch("https://b/1") is None
+    import pickle
+
+    assert pickle.loads(pickle.dumps(PoliteFetcher(StoredPages({}), clock=now.copy, sleep=slept.append)))._last == {}
+
+
+def test_parts_and_replaced_tables(spark, tmp_path):
+    made = []
+
+    def make(rows):
+        made.append(1)
+        if len(made) == 3:
+            raise RuntimeError("stopped")
+        return rows.withColumn("x", F.col("id") * 2)
+
+    rows = spark.range(1000)
+    with pytest.raises(RuntimeError):
+        stages.resumed_in_parts(rows, str(tmp_path), {"q": 1}, "s", make, "id")
+    out = stages.resumed_in_parts(rows, str(tmp_path), {"q": 1}, "s", make, "id")
+    assert len(made) == 5 and out.count() == 1000 == out.select("x").distinct().count()
+    path = str(tmp_path / "t")
+    stages.replace_table(spark.range(3), path)
+    stages.replace_table(spark.read.parquet(path).unionByName(spark.range(7, 9)), path)
+    assert spark.read.parquet(path).count() == 5 and [x.name for x in tmp_path.iterdir() if ".new-" in x.name] == []
+
+
+def test_vector_search_and_index(spark, tmp_path):
+    """Search equals brute force, with nulls and zeros; the index finds nearly all and, with all clusters, all."""
+    from tidemark.operators import vectors
+
+    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select("vec_id", "embedding", "label")
+    odd = spark.createDataFrame([(900_001, None, 1), (900_002, [0.0] * 64, 1), (900_003, [1.0], 1)], "vec_id bigint, embedding array<float>, label int")
+    df = df.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"), F.col("label").cast("int").alias("label"))
+    got = df.toPandas()
+    m = vectors._unit(np.stack(got["embedding"].to_numpy()).astype(float))
+    q = list(got["embedding"][3])
+    sim = np.round(m @ (np.array(q) / np.linalg.norm(q)), 6)
+    want = [int(got["vec_id"][i]) for i in np.lexsort((got["vec_id"], -sim)) if got["label"][i] != 3][:40]
+    found = vectors.search(df.unionByName(odd).repartition(5), q, 40, keep=F.col("label") != 3, exact=True, carry=("label",)).collect()
+    assert [r.vec_id for r in found] == want and found[0].label is not None
+    assert vectors.search(df.limit(0), q, 5).count() == 0
+    centres = vectors.write_index(df.unionByName(odd), str(tmp_path / "ix"), 16)
+    ix = spark.read.parquet(str(tmp_path / "ix"))
+    assert ix.count() == len(got) + (1 if m.shape[1] == 64 else 0)
+    asked = df.where("vec_id % 5 = 0")
+    exact = {(r.query_id, r.id) for r in vectors.neighbours(asked, df, 10).collect()}
+    probes = vectors.probes_for(ix, centres)
+    near = {(r.query_id, r.id) for r in vectors.near_neighbours(asked, ix, centres, 10, probes).collect()}
+    assert probes < 16 and len(exact & near) >= 0.9 * len(exact)
+    whole = {(r.query_id, r.id) for r in vectors.near_neighbours(asked, ix, centres, 10, 16).collect()}
+    assert len(exact - whole) <= 0.01 * len(exact)  # equal but for vectors of zeros
+    assert [r.vec_id for r in vectors.search_index(ix, centres, q, 10, 16).collect()] == [r.vec_id for r in vectors.search(df, q, 10, exact=True).collect()]
+
+
+def test_stages_need_a_shared_folder(spark, monkeypatch):
+    from tidemark import session
+
+    class Far:
+        master = "spark://far:7077"
+
+    class Session:
+        conf, sparkContext = {}, Far()
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        session.shared_dir(Session())
+    path = session.stage(spark.range(3), "x").inputFiles()[0]
+    session.drop_stages(spark)
+    assert not __import__("os").path.exists(path.removeprefix("file://"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: An amount with its unit. Fixed pattern.
 _FIRST = r"(?iU)([€£$¥])?\s*(\d+(?:\.\d+)?)\s*(million|billion|M|B)"
 
 
@@ -38,3 +39,19 @@ def exchange(amount: Column, currency: Column, rate: Column, source: Column, bas
 def previous_business_day(day: Column) -> Column:
     back = F.when(F.weekday(day) == 0, 3).when(F.weekday(day) == 6, 2).otherwise(1)
     return F.date_sub(day, back)
+
+
+def as_of(rows: DataFrame, rates: DataFrame, key: str, day: str, lookback: int) -> DataFrame:
+    """Rows with the rate of the same key on the row's day or the latest of so many days before it; null without one.
+
+    Both sides are cut into slots of that many days, so that the join is one of equal keys and a busy key has many tasks.
+    """
+    span = lookback + 1
+    slot = F.floor(F.unix_date(day) / span)
+    told = rates.groupBy(key, F.col(day).alias("_day")).agg(F.max("rate").alias("rate"))
+    own = F.floor(F.unix_date("_day") / span)
+    told = told.select(F.col(key).alias("_key"), "_day", "rate", F.explode(F.array(own, own + 1)).alias("_slot"))
+    keyed = rows.withColumns({"_row": F.monotonically_increasing_id(), "_slot": slot})
+    near = (F.col(key) == F.col("_key")) & (keyed["_slot"] == told["_slot"]) & (F.col("_day") <= F.col(day)) & (F.date_diff(F.col(day), F.col("_day")) <= lookback)
+    found = keyed.join(told, near, "left").groupBy("_row", *(F.col(f"`{c}`") for c in rows.columns)).agg(F.max_by("rate", "_day").alias("rate"))
+    return found.drop("_row")

@@ -14,8 +14,9 @@ from pyspark.sql.types import StringType
 
 #: Legal suffixes in the order they are stripped. Fixed values.
 LEGAL_SUFFIXES = (
-    "inc incorporated ltd limited plc corp corporation ag sa llc llp lp co company pharmaceuticals pharma therapeutics biotech biotechnology".split()
-)
+    "inc", "incorporated", "ltd", "limited", "plc", "corp", "corporation", "ag", "sa", "llc", "llp", "lp", "co", "company",
+    "pharmaceuticals", "pharma", "therapeutics", "biotech", "biotechnology",
+)
 #: Words that say nothing about an amount. Fixed values.
 AMOUNT_NOISE = ("approximately", "about", "around", "up to", "upto", "roughly")
 _MONTHS = "January|February|March|April|May|June|July|August|September|October|November|December"

@@ -121,8 +121,8 @@ def told_with(evidence: str | None, n: Decimal) -> list[tuple[str, str]]:
 
 #: Wide enough for any figure here times scale and rate, without rounding.
 _WIDE = Context(prec=400, rounding=ROUND_HALF_UP)
-#: Figures from here on are no amounts, nor are dollars that 64 bits can't hold.
-TOO_LARGE = Decimal(10) ** 20
+#: What the figure column holds at most. It is only compared with MILLIONS_BELOW; amounts come of the exact figure.
+_MOST = Decimal(10) ** 25
 
 _READ = "extraction_id bigint, field_name string, figure decimal(38,12), exact string, exponent boolean, unit string, currency string, told array<string>"
 
@@ -137,12 +137,12 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 continue
             for field in FIELDS:
                 got = reading(money.get(field))
-                if got is None or not 0 < got[0] < TOO_LARGE:
+                if got is None or not 0 < got[0]:
                     continue
                 currency = money.get("currency")
                 currency = currency.strip() if isinstance(currency, str) and currency.strip() else None
                 told = [f"{a} {b}".strip() for a, b in told_with(found.get("key_evidence"), got[0])]
-                rows.append((i, field, got[0].quantize(Decimal("1e-12"), context=_WIDE), str(got[0]), got[2], got[1].lower(), currency and currency.lower(), told))
+                rows.append((i, field, min(got[0], _MOST).quantize(Decimal("1e-12"), context=_WIDE), str(got[0]), got[2], got[1].lower(), currency and currency.lower(), told))
         yield pd.DataFrame(rows, columns=["extraction_id", "field_name", "figure", "exact", "exponent", "unit", "currency", "told"])
 
 
@@ -169,14 +169,16 @@ def usd_amounts(extractions: DataFrame, rates: DataFrame) -> DataFrame:
     """extraction_id, field_name, usd_amount (whole dollars, half up) of each value that gives a single amount above 0.
 
     No amounts: unreadable JSON, null or missing values, money that is no object, vague amounts, ranges, zero and
-    below, figures from TOO_LARGE on and dollars beyond 64 bits, currencies without a rate. Repeated extractions give theirs each; of repeated rates the largest counts.
+    below, dollars beyond 64 bits, currencies without a rate. Repeated extractions give theirs each; of repeated rates the largest counts.
     """
     read = stage(extractions.select("extraction_id", "raw_json").mapInPandas(_read, _READ), "figures")
     own = read.select(F.col("unit").alias("spelling"), F.lit(False).alias("told"))
     named = read.where("currency is not null").select("currency", F.lit(False))
     told = read.select(F.explode("told"), F.lit(True))
     spellings = own.union(named).union(told).distinct()
-    words = stage(spellings.mapInPandas(_lookup, "spelling string, told boolean, known boolean, code string, scale bigint"), "units")
+    # A number given, so that small rows which take long are not put together in one task.
+    tasks = max(int(spellings.sparkSession.conf.get("spark.sql.shuffle.partitions")), spellings.sparkSession.sparkContext.defaultParallelism)
+    words = stage(spellings.repartition(tasks, "spelling").mapInPandas(_lookup, "spelling string, told boolean, known boolean, code string, scale bigint"), "units")
 
     def named_as(prefix: str, is_told: bool) -> DataFrame:
         return words.where(F.col("told") == is_told).select(*(F.col(c).alias(f"{prefix}_{c}") for c in ("spelling", "known", "code", "scale")))

@@ -11,12 +11,33 @@ from tidemark.functions.money import first_amount, lenient_number
 DEAL_TYPES = ("M&A", "partnership", "licensing", "option-to-license")
 
 
-def one_extraction(raw: str = "raw_json") -> Column:
-    """The extraction as JSON text, bare or as the first of an array or of an object's values; null if unreadable."""
-    ok = F.expr(f"try_parse_json({raw})")
-    first = F.coalesce(F.get_json_object(raw, "$.results[0]"), F.get_json_object(raw, "$[0]"), F.get_json_object(raw, "$.a"))
-    bare = F.get_json_object(raw, "$.money").isNotNull() | F.get_json_object(raw, "$.parties").isNotNull()
-    return F.when(ok.isNotNull(), F.when(bare, F.col(raw)).otherwise(F.coalesce(first, F.col(raw))))
+#: Arrays and objects around an extraction that are looked into.
+DEPTH = 4
+
+
+def _is_extraction(json: Column) -> Column:
+    keys = F.json_object_keys(json)
+    return F.coalesce(F.arrays_overlap(keys, F.array(*(F.lit(k) for k in ("money", "parties", "key_evidence")))), F.lit(False))
+
+
+def _inside(json: Column) -> Column:
+    """The elements of an array, or the values of an object, as JSON texts; none of other values."""
+    kind = F.substring(F.ltrim(json), 1, 1)
+    values = F.when(kind == "[", F.from_json(json, "array<string>")).when(kind == "{", F.map_values(F.from_json(json, "map<string,string>")))
+    return F.filter(F.coalesce(values, F.array().cast("array<string>")), lambda x: x.isNotNull())
+
+
+def extractions_of(raw: str = "raw_json") -> Column:
+    """All extractions of a reply as JSON texts in order: bare, in arrays, or in objects under whatever keys; null if unreadable.
+
+    A readable reply without any is itself the one, so that what it lacks is told.
+    """
+    found = F.array(F.col(raw))
+    for _ in range(DEPTH):
+        found = F.flatten(F.transform(found, lambda j: F.when(_is_extraction(j), F.array(j)).otherwise(_inside(j))))
+    found = F.filter(found, _is_extraction)
+    found = F.when(F.size(found) > 0, found).otherwise(F.array(F.col(raw)))
+    return F.when(F.expr(f"try_parse_json({raw})").isNotNull(), found)
 
 
 def _text(json: Column, path: str) -> Column:
@@ -29,12 +50,16 @@ def _default(json: Column, key: str, value: str) -> Column:
 
 
 def parsed(extractions: DataFrame) -> DataFrame:
-    """One flat row an extraction, money repaired from the quoted evidence where all of it is missing."""
+    """One flat row an extraction, several of a reply by part from 0, money repaired from the quoted evidence where all of it is missing.
+
+    An unreadable or null reply is one row without values.
+    """
     j = F.col("j")
-    rows = extractions.withColumn("j", one_extraction())
+    rows = extractions.select("extraction_id", "url", F.posexplode_outer(extractions_of()).alias("part", "j")).withColumn("part", F.coalesce("part", F.lit(0)))
     money = {f: lenient_number(_text(j, f"$.money.{f}")) for f in ("upfront_value", "contingent_payment", "total_deal_value")}
     rows = rows.select(
         "extraction_id",
+        "part",
         "j",
         F.coalesce(_text(j, "$.url"), "url").alias("url"),
         _text(j, "$.parties.target").alias("target"),

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.zones import local_to_utc
+from tidemark.functions.zones import local_to_utc, version
 
 #: Months by name and abbreviation, English and German. Fixed values.
 MONTHS = {
@@ -41,6 +41,17 @@ def shape(value: str) -> str:
     return _LETTER.sub("a", value.translate(_CLASS))
 
 
+def shapes(values: list[str]) -> list[str]:
+    """The masks of values, by a table gather over all of their code points at once."""
+    cp = np.frombuffer("".join(values).encode("utf-32-le", "surrogatepass"), np.uint32)
+    met = np.flatnonzero(np.bincount(cp)) if len(cp) else cp
+    table = np.zeros(int(met.max()) + 1 if len(met) else 0, np.uint32)
+    table[met] = [ord(shape(chr(c))) for c in met]
+    whole = table[cp].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+    ends = np.cumsum([len(v) for v in values]).tolist()
+    return [whole[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+
+
 _CLOCK = r"(?P<h>9{1,2}):(?P<mi>99)(?::(?P<s>99)(?:[.,](?P<f>9+))?)?"
 _ZONE = r"(?: ?(?P<off>[+-]99:?(?:99)?)| ?(?P<zl>a{1,4}))?(?P<zid>\[[a/_]+\])?"
 #: Shapes that are read; a named part is a field. Letters are compared after the mask fits.
@@ -169,12 +180,15 @@ _PARSERS: dict[str, Parser | None] = {}
 
 def parser_of(mask: str) -> Parser | None:
     """The mask's parser, compiled at its first value in this worker; None where no shape fits."""
-    if mask not in _PARSERS:
+    if mask in _PARSERS:
+        return _PARSERS[mask]
+    fits = next((m for p in _SHAPES if (m := p.fullmatch(mask))), None)
+    parser = _shaped(fits) if fits else None
+    if len(mask) < 200:  # longer ones are read, but not remembered
         if len(_PARSERS) > 100_000:  # masks of hostile input
             _PARSERS.clear()
-        fits = next((m for p in _SHAPES if (m := p.fullmatch(mask))), None)
-        _PARSERS[mask] = _shaped(fits) if fits else None
-    return _PARSERS[mask]
+        _PARSERS[mask] = parser
+    return parser
 
 
 def to_utc_seconds(values: pd.Series, zones: pd.Series, month_first: pd.Series) -> tuple[np.ndarray, np.ndarray]:
@@ -182,16 +196,16 @@ def to_utc_seconds(values: pd.Series, zones: pd.Series, month_first: pd.Series)
     out, ok = np.zeros(len(values), np.int64), np.zeros(len(values), bool)
     trimmed = [v.strip() if isinstance(v, str) else "" for v in values]
     by_mask: dict[str, list[int]] = {}
-    for i, v in enumerate(trimmed):
-        if v and len(v) < 80:
-            by_mask.setdefault(shape(v), []).append(i)
+    for i, mask in enumerate(shapes(trimmed)):
+        if mask:
+            by_mask.setdefault(mask, []).append(i)
     z, mf = zones.to_numpy(object), month_first.fillna(False).to_numpy(bool)
     for mask, at in by_mask.items():
         parse = parser_of(mask)
         if parse is None:
             continue
         own = [trimmed[i] for i in at]
-        cp = np.frombuffer("".join(own).encode("utf-32-le"), np.uint32).reshape(len(own), len(mask))
+        cp = np.frombuffer("".join(own).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(own), len(mask))
         ix = np.array(at)
         out[ix], ok[ix] = parse(cp, own, z[ix], mf[ix])
     return out, ok & (out >= -62135596800) & (out < 253402300800)
@@ -202,14 +216,18 @@ def utc_instants(articles: DataFrame, sites: DataFrame, fields: tuple[str, ...]
 
     A time without zone is on the clock of the site whose host is the url's; without a site it tells no instant, and
     neither do nulls, blanks and unknown notations. All-figure dates follow the site's order, else month last. Rows
-    repeated give their values each. Sites are one row a host; of repeated hosts the least row counts.
+    repeated give their values each. Sites are one row a host; of repeated hosts the least row counts. All workers have
+    to have the driver's release of the zone tables, else the query fails, as clocks would be read in two ways.
     """
+    release = version()
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
     clocks = sites.groupBy(F.lower("host").alias("host")).agg(F.min(F.struct("tz", "date_order")).alias("site"))
     rows = articles.select("article_id", host.alias("host"), *fields).join(clocks, "host", "left")
     rows = rows.select("article_id", F.col("site.tz").alias("tz"), (F.col("site.date_order") == "mdy").alias("month_first"), *fields)
 
     def convert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        if version() != release:
+            raise RuntimeError(f"zone tables of release {version()} here, {release} on the driver")
         for pdf in batches:
             for field in fields:
                 t, ok = to_utc_seconds(pdf[field], pdf["tz"], pdf["month_first"])

@@ -78,6 +78,13 @@ def by_position(left: DataFrame, right: DataFrame, left_order: str, right_order:
     return numbered(left, left_order).join(numbered(right, right_order), "position", how)
 
 
+def status_snapshot(rows: DataFrame, elapsed: float) -> DataFrame:
+    """One row: total, pending, failed and processed rows, the rate so far per hour, and the seconds that the rest will take; null before the first."""
+    counts = rows.agg(F.count("*").alias("total"), *(F.count_if(F.col("embedding_status") == s).alias(s) for s in ("pending", "failed")), F.count_if(F.col("embedding_status") != "pending").alias("processed"))
+    rate = F.round(F.col("processed") * 3600.0 / elapsed, 4)
+    return counts.withColumns({"per_hour": rate, "eta_seconds": F.when(F.col("processed") > 0, F.round(F.col("pending") * elapsed / F.col("processed"), 4))})
+
+
 def sliding_count(rows: DataFrame, key: str, ts: str, seconds: int) -> DataFrame:
     """Rows of the key in the window that ends with each row; windows cut by time, so that a busy key has many tasks.
 

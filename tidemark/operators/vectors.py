@@ -6,34 +6,67 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField, StructType
+
+from tidemark.operators import tables
+from tidemark.sources.stages import read_or_empty, replace_table
 
 #: Queries multiplied with the whole table at a time.
 BLOCK = 2048
+#: Rows of a cluster that one task takes.
+CLUSTER = 100_000
 
 
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+def _matrix(column: pa.ListArray, dims: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the vectors of that many dimensions in a batch, and the vectors as rows of a matrix."""
+    column = column.cast(pa.list_(pa.float64()))
+    size = np.diff(column.offsets.to_numpy())
+    fits = np.flatnonzero((size == dims) & column.is_valid().to_numpy(zero_copy_only=False))
+    start = column.offsets.to_numpy()[:-1][fits]
+    return fits, column.values.to_numpy(zero_copy_only=False)[start[:, None] + np.arange(dims)]
 
 
-def cosine(a: Column, b: Column) -> Column:
-    return dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
+def _best(similarity: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:
+    """Places of the n greatest, ties by id."""
+    if len(ids) > 4 * n:
+        near = np.flatnonzero(similarity >= np.partition(similarity, -n)[-n])
+        return near[np.lexsort((ids[near], -similarity[near]))[:n]]
+    return np.lexsort((ids, -similarity))[:n]
 
 
-def search(vectors: DataFrame, query: list[float], top_k: int, id_col: str = "vec_id", least: float | None = None, keep: Column | None = None, exact: bool = False) -> DataFrame:
-    """Nearest rows by cosine: the first min(3 top_k, 10000), then the filters, then top_k.
+def search(vectors: DataFrame, query: list[float], top_k: int, id_col: str = "vec_id", least: float | None = None, keep: Column | None = None, exact: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """id, carried columns, similarity and distance of the nearest rows by cosine: the first min(3 top_k, 10000), then the filters, then top_k.
 
-    With exact the filters come first, which can only find more. A threshold of None or 0 is none. Ties go by id.
+    With exact the filters come first, which can only find more. A threshold of None or 0 is none. Ties go by id. Null
+    vectors, those of other dimensions and of zeros are at no distance and never found. Only the best of each batch
+    leave Python.
     """
-    sim = F.round(cosine(F.col("embedding"), F.array(*(F.lit(float(x)) for x in query))), 6)
-    rows = vectors.withColumn("similarity", sim).withColumn("distance", F.round(1 - F.col("similarity"), 6))
-    cond = F.lit(True) if keep is None else keep
-    if least:
-        cond = cond & (F.col("similarity") >= least)
+    q = np.array(query, np.float64)
+    first = top_k if exact else min(3 * top_k, 10_000)
+    rows = vectors.select(id_col, *carry, F.col("embedding").alias("_vector"), (F.lit(True) if keep is None else F.coalesce(keep, F.lit(False))).alias("_keep"))
+    schema = StructType([*(f for f in rows.schema.fields if f.name not in ("_vector", "_keep")), StructField("_keep", BooleanType()), StructField("similarity", DoubleType())])
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, m = _matrix(batch.column("_vector"), len(q))
+            norm = np.linalg.norm(m, axis=1) * np.linalg.norm(q)
+            sim = np.round(np.divide(m @ q, norm, out=np.full(len(at), np.nan), where=norm > 0), 6)
+            ok = norm > 0
+            if exact:
+                ok &= batch.column("_keep").to_numpy(zero_copy_only=False)[at].astype(bool)
+                ok &= sim >= least if least else True
+            at, sim = at[ok], sim[ok]
+            top = _best(sim, batch.column(id_col).to_numpy(zero_copy_only=False)[at], first)
+            out = batch.take(pa.array(at[top]))
+            yield pa.RecordBatch.from_arrays([*(out.column(c) for c in (id_col, *carry, "_keep")), pa.array(sim[top])], names=[id_col, *carry, "_keep", "similarity"])
+
+    found = rows.mapInArrow(nearest, schema).withColumn("distance", F.round(1 - F.col("similarity"), 6))
     if not exact:
-        rows = rows.orderBy("distance", id_col).limit(min(3 * top_k, 10_000))
-    return rows.where(cond).orderBy("distance", id_col).limit(top_k)
+        found = found.orderBy("distance", id_col).limit(first).where(F.col("_keep") & (F.lit(True) if not least else F.col("similarity") >= least))
+    return found.drop("_keep").orderBy("distance", id_col).limit(top_k)
 
 
 def both_searches(first: DataFrame, second: DataFrame, top_k: int, id_col: str = "vec_id") -> DataFrame:
@@ -88,6 +121,112 @@ def _query_blocks(queries: DataFrame, id_col: str) -> Iterator[tuple[np.ndarray,
         yield np.array(ids), _unit(np.array(vecs, np.float64))
 
 
+def upsert_vectors(spark: SparkSession, path: str, new: DataFrame, key: str = "article_id") -> None:
+    """The table at path with the new vectors over those of the same key: one vector a key, however often it is embedded."""
+    old = read_or_empty(spark, path, new.schema)
+    replace_table(tables.upsert(old.select(*new.columns), new, key, "model"), path)
+
+
+#: Vectors that the centres of an index are fitted on at most, and rounds of the fit.
+FIT_ROWS, FIT_ROUNDS = 20_000, 12
+
+
+def fit_centres(vectors: DataFrame, clusters: int = 64, id_col: str = "vec_id") -> np.ndarray:
+    """Unit centres of clusters, fitted on at most FIT_ROWS vectors drawn by hash; every vector is indexed, though."""
+    rows = vectors.where("embedding is not null")
+    n = rows.count()
+    if n > FIT_ROWS:
+        rows = rows.where(F.pmod(F.xxhash64(id_col, F.lit("fit")), F.lit(1 << 20)) < int(1.1 * FIT_ROWS / n * (1 << 20)) + 1).limit(FIT_ROWS)
+    got = rows.select("embedding").toPandas()["embedding"]
+    if not len(got):
+        return np.zeros((1, 1))
+    dims = int(got.map(len).mode()[0])  # vectors of other dimensions are in no index
+    m = _unit(np.stack([x for x in got if len(x) == dims]).astype(np.float64))
+    rng = np.random.default_rng(7)
+    centres = m[rng.choice(len(m), min(clusters, len(m)), replace=False)]
+    for _ in range(FIT_ROUNDS):
+        near = np.argmax(m @ centres.T, axis=1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, near, m)
+        centres = np.where(np.linalg.norm(sums, axis=1, keepdims=True) > 0, _unit(sums), centres)
+    return centres
+
+
+def indexed(vectors: DataFrame, centres: np.ndarray, id_col: str = "vec_id") -> DataFrame:
+    """id, embedding, cluster of every vector: that of the nearest centre. Written by cluster, a search reads few of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, m = _matrix(batch.column("embedding"), centres.shape[1])
+            near = np.argmax(_unit(m) @ centres.T, axis=1) if len(at) else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(id_col).take(pa.array(at)), batch.column("embedding").take(pa.array(at)), pa.array(near.astype(np.int32))], names=[id_col, "embedding", "cluster"])
+
+    rows = vectors.select(id_col, "embedding")
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("cluster", IntegerType())]))
+
+
+def write_index(vectors: DataFrame, path: str, clusters: int = 64, id_col: str = "vec_id") -> np.ndarray:
+    """An index of the vectors as a table by cluster; returns the centres."""
+    centres = fit_centres(vectors, clusters, id_col)
+    indexed(vectors, centres, id_col).write.mode("overwrite").partitionBy("cluster").parquet(path)
+    return centres
+
+
+def probes_for(index: DataFrame, centres: np.ndarray, k: int = 10, recall: float = 0.95, queries: int = 100, id_col: str = "vec_id") -> int:
+    """The fewest clusters to look into for this recall, measured on so many indexed vectors, drawn by hash, against exact neighbours among all."""
+    asked = index.orderBy(F.xxhash64(id_col, F.lit("probe")), id_col).limit(queries).select(id_col, "embedding")
+    exact = neighbours(asked, index, k, id_col).join(index.select(F.col(id_col).alias("id"), "cluster"), "id").select("query_id", "cluster").toPandas()  # at most k a query
+    if not len(exact):
+        return len(centres)
+    own = asked.toPandas()
+    order = np.argsort(-(_unit(np.stack(own["embedding"].to_numpy()).astype(np.float64)) @ centres.T), axis=1, kind="stable")
+    place = np.argsort(order, axis=1)
+    rank = place[[dict(zip(own[id_col], range(len(own))))[q] for q in exact["query_id"]], exact["cluster"]]
+    return int(np.sort(rank)[min(len(rank) - 1, int(np.ceil(recall * len(rank))) - 1)]) + 1
+
+
+def search_index(index: DataFrame, centres: np.ndarray, query: list[float], top_k: int, probes: int, **how) -> DataFrame:
+    """As search with exact filters, over the clusters nearest to the query only; with probes of all clusters it is exact."""
+    nearest = np.argsort(-(centres @ np.array(query, np.float64)), kind="stable")[:probes]
+    return search(index.where(F.col("cluster").isin([int(c) for c in nearest])), query, top_k, exact=True, **how)
+
+
+def near_neighbours(queries: DataFrame, index: DataFrame, centres: np.ndarray, k: int, probes: int, id_col: str = "vec_id") -> DataFrame:
+    """query_id, id, similarity, rank of the k nearest in the clusters nearest to each query: queries and rows of a cluster meet.
+
+    Rows of a large cluster are salted over tasks of at most CLUSTER rows, and each task's best are merged, so that no
+    task has a whole hot cluster.
+    """
+    sizes = index.groupBy("cluster").agg(F.ceil(F.count("*") / CLUSTER).cast("int").alias("salts"))
+
+    def nearest(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in pdfs:
+            pdf = pdf[[x is not None and len(x) == centres.shape[1] for x in pdf["embedding"]]]
+            if len(pdf):
+                near = np.argsort(-(_unit(np.stack(pdf["embedding"].to_numpy()).astype(np.float64)) @ centres.T), axis=1, kind="stable")[:, :probes]
+                yield pd.DataFrame({"id": np.repeat(pdf[id_col].to_numpy(np.int64), near.shape[1]), "embedding": [x for x in pdf["embedding"] for _ in range(near.shape[1])], "cluster": near.ravel().astype(np.int32)})
+
+    asked = queries.select(id_col, "embedding").mapInPandas(nearest, "id bigint, embedding array<float>, cluster int").join(sizes, "cluster")
+    asked = asked.select("cluster", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "id", "embedding")
+    held = index.join(sizes, "cluster").select("cluster", F.pmod(F.xxhash64(id_col), "salts").cast("int").alias("salt"), F.col(id_col).alias("id"), "embedding")
+
+    def meet(key: tuple, q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        if not len(q) or not len(c):
+            return pd.DataFrame({"query_id": [], "id": [], "similarity": []})
+        ids, m = c["id"].to_numpy(np.int64), _unit(np.stack(c["embedding"].to_numpy()).astype(np.float64))
+        out = []
+        for i in range(0, len(q), 256):
+            sim = np.round(_unit(np.stack(q["embedding"].iloc[i : i + 256].to_numpy()).astype(np.float64)) @ m.T, 6)
+            for who, row in zip(q["id"].iloc[i : i + 256], sim):
+                top = _best(row, ids, k)
+                out.append(pd.DataFrame({"query_id": who, "id": ids[top], "similarity": row[top]}))
+        return pd.concat(out)
+
+    found = asked.groupBy("cluster", "salt").cogroup(held.groupBy("cluster", "salt")).applyInPandas(meet, "query_id bigint, id bigint, similarity double")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("similarity"), "id"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
 def greedy_choice(order: list, near: dict, length: dict) -> list:
     """The rows that stay, in the order they are told: in input order, an unseen row and its neighbours, seen or not,
     give their longest (the first of several); all others count as seen; a longest seen before is not told again."""

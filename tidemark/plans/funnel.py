@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import asdict, dataclass, field, fields
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,9 +20,9 @@ from tidemark.sources.stages import resumed
 
 #: Stages of development by the sheet they go to. Fixed values.
 BUCKETS = {
-    "EARLY_STAGE": "preclinical|pre-clinical|phase 1|phase i|first-in-human|fih|discovery".split("|"),
-    "MID_STAGE": "phase 2|phase ii|phase 3|phase iii".split("|"),
-    "UNDISCLOSED": "unknown|undisclosed|not specified|clinical".split("|"),
+    "EARLY_STAGE": ("preclinical", "pre-clinical", "phase 1", "phase i", "first-in-human", "fih", "discovery"),
+    "MID_STAGE": ("phase 2", "phase ii", "phase 3", "phase iii"),
+    "UNDISCLOSED": ("unknown", "undisclosed", "not specified", "clinical"),
 }
 
 
@@ -53,6 +54,18 @@ class Config:
             raise ValueError(f"unknown keys: {sorted(unknown)}")
         return cls(**{k: tuple(v) if isinstance(v, list) else v for k, v in found.items()})
 
+    def save(self, path: str) -> None:
+        """As YAML where that can be written, else JSON; load() reads both."""
+        found = {k: list(v) if isinstance(v, tuple) else v for k, v in asdict(self).items()}
+        try:
+            import yaml
+
+            text = yaml.safe_dump(found, allow_unicode=True, sort_keys=False)
+        except ImportError:
+            text = json.dumps(found, ensure_ascii=False, indent=1)
+        with open(path, "w") as f:
+            f.write(text)
+
     def query_text(self) -> str:
         return f"{self.topic} {' '.join(self.keywords)} acquisition merger partnership licensing".strip()
 
@@ -64,7 +77,8 @@ def candidates(articles: DataFrame, stored: DataFrame, config: Config, embedder:
     if config.sources:
         keep = keep & F.col("source").isin(*config.sources)
     facts = articles.select("article_id", "url", "title", "published_date", "source")
-    hits = vectors.search(stored.select("article_id", "embedding").join(facts, "article_id"), query, config.top_k, "article_id", config.least_similarity, keep, exact=True)
+    carry = ("url", "title", "published_date", "source")
+    hits = vectors.search(stored.select("article_id", "embedding").join(facts, "article_id"), query, config.top_k, "article_id", config.least_similarity, keep, exact=True, carry=carry)
     return hits.orderBy("distance", "article_id").limit(config.first)
 
 
@@ -97,15 +111,15 @@ def run(articles: DataFrame, stored: DataFrame, config: Config, root: str, embed
     return rows.withColumn("bucket", stage_bucket())
 
 
-def write(rows: DataFrame, folder: str, topic: str) -> None:
-    """One sheet a bucket that has rows; rows of no bucket are in none."""
+def write(rows: DataFrame, folder: str, topic: str, at: datetime | None = None) -> list[str]:
+    """One sheet a bucket that has rows, with the time in its name; rows of no bucket are in none."""
     good = rows.where("reject_reason is null and bucket is not null")
     deals = good.select(
         F.col("day").alias("date_announced"), "target", "acquirer", F.col("upfront_value").alias("upfront_value_usd"), F.col("contingent_payment").alias("contingent_payment_usd"), F.col("total_deal_value").alias("total_deal_value_usd"),
         F.lit(None).cast("double").alias("upfront_pct_total"), "stage", F.lit(topic).alias("therapeutic_area"), F.lit(None).cast("string").alias("secondary_areas"), "asset_focus", F.col("deal_type").alias("deal_type_detailed"), "geography", F.col("url").alias("source_url"), F.lit(False).alias("needs_review"),
         F.concat(F.lit(f"deals_{topic.replace(' ', '_')}_"), "bucket").alias("bucket"),
     )
-    write_sheets(deals, folder, "bucket")
+    return write_sheets(deals, folder, "bucket", f"{{bucket}}_{at or datetime.now():%Y%m%d_%H%M%S}.xlsx")
 
 
 def new_articles(discovered: DataFrame, known: DataFrame) -> DataFrame:

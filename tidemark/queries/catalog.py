@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import money, text
 from tidemark.operators import extractions, filters, names, tables, vectors
-from tidemark.session import table
+from tidemark.plans import funnel
+from tidemark.session import shared_dir, table
 from tidemark.sources import feeds, sheets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -224,7 +226,16 @@ def strip_suffixes(t):
     return n.select("name", text.strip_legal_suffixes(F.col("name")).alias("stripped"))
 
 
-@query()
+_NORM = "trim(regexp_replace(lower(regexp_replace(strip_accents(replace({c}, chr(160), ' ')), '[^\\x00-\\x7F]', '', 'g')), '\\s+', ' ', 'g'))"
+
+
+@query(f"""
+WITH n AS (SELECT target AS name FROM deals WHERE target IS NOT NULL UNION ALL SELECT acquirer FROM deals WHERE acquirer IS NOT NULL),
+s AS (SELECT name, {_SUFFIX} AS stripped FROM n),
+d AS (SELECT canonical, variant AS spelling, precedence FROM aliases UNION ALL SELECT canonical, canonical, 0 FROM aliases),
+k AS (SELECT {_NORM.format(c="spelling")} AS k, arg_min(canonical, (precedence, canonical)) AS found FROM d GROUP BY 1)
+SELECT name, CASE WHEN trim(name) = '' THEN name ELSE coalesce(found, stripped) END AS canonical, count(*) AS n FROM s LEFT JOIN k ON k.k = {_NORM.format(c="stripped")} GROUP BY 1, 2
+""")
 def canonical_names(t):
     n = t("deals").select(F.explode(F.array("target", "acquirer")).alias("name")).where("name is not null")
     return names.canonical_names(n, t("aliases")).groupBy("name", "canonical").agg(F.count("*").alias("n"))
@@ -244,9 +255,9 @@ def exchange_deals(t):
 
 @query("SELECT (SELECT count(*) FROM articles WHERE embedding_status = 'embedded') AS embedded, (SELECT count(*) FROM embeddings) AS vectors, (SELECT count(*) FROM articles WHERE embedding_status = 'embedded') = (SELECT count(*) FROM embeddings) AS in_sync")
 def sync_check(t):
-    a = t("articles").agg(F.count_if(F.col("embedding_status") == "embedded").alias("embedded"), F.lit(1).alias("k"))
-    v = t("embeddings").agg(F.count("*").alias("vectors"), F.lit(1).alias("k"))
-    return a.join(v, "k").select("embedded", "vectors", (F.col("embedded") == F.col("vectors")).alias("in_sync"))
+    a = t("articles").agg(F.count_if(F.col("embedding_status") == "embedded").alias("embedded"))
+    v = t("embeddings").agg(F.count("*").alias("vectors"))  # a row each
+    return a.crossJoin(v).select("embedded", "vectors", (F.col("embedded") == F.col("vectors")).alias("in_sync"))
 
 
 # Aggregates
@@ -351,14 +362,24 @@ def vector_neighbours(t):
 
 @query()
 def greedy_distinct(t):
-    hits = vectors.search(t("embeddings"), _first_vector(t), 1000, exact=True)
+    hits = vectors.search(t("embeddings"), _first_vector(t), 1000, exact=True, carry=("label", "embedding"))
     rows = hits.select(F.col("vec_id").alias("id"), F.col("distance").alias("ord"), (F.col("label").cast("bigint") * 100 + F.col("vec_id") % 7).alias("length"), "embedding")
     return vectors.greedy_distinct(rows, above=0.3)
 
 
 # Extractions
 
-_J = "CASE WHEN NOT json_valid(raw_json) THEN NULL WHEN (raw_json->'$.money') IS NOT NULL OR (raw_json->'$.parties') IS NOT NULL THEN raw_json::JSON ELSE coalesce(raw_json->'$.results[0]', CASE WHEN json_type(raw_json) = 'ARRAY' THEN raw_json->'$[0]' END, raw_json->'$.a', raw_json::JSON) END"
+_AMOUNT = r"(?i)([€£$¥])?\s*(\d+(?:\.\d+)?)\s*(million|billion|M|B)"
+_IS_EXTRACTION = "coalesce(json_type({j}) = 'OBJECT' AND list_has_any(json_keys({j}), ['money', 'parties', 'key_evidence']), false)"
+#: Replies cut into their extractions, level by level.
+_FOUND = f"""
+WITH RECURSIVE x AS (
+  SELECT extraction_id AS eid, url, raw_json::JSON AS j, 0 AS depth FROM raw_extractions WHERE json_valid(raw_json)
+  UNION ALL SELECT x.eid, x.url, e.value AS j, x.depth + 1 AS depth FROM x, json_each(x.j) e WHERE x.depth < 4 AND json_type(x.j) IN ('ARRAY', 'OBJECT') AND NOT {_IS_EXTRACTION.format(j="x.j")}
+),
+f AS (SELECT eid, url, j FROM x WHERE {_IS_EXTRACTION.format(j="j")}),
+r AS (SELECT eid AS extraction_id, url, j FROM f UNION ALL SELECT extraction_id, url, CASE WHEN json_valid(raw_json) THEN raw_json::JSON END FROM raw_extractions WHERE extraction_id NOT IN (SELECT eid FROM f))
+"""
 _NUM = r"CASE WHEN regexp_matches(m, '^\s*[-+]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][-+]?\d+)?\s*$') AND m::DOUBLE >= 0 THEN m::DOUBLE END"
 
 
@@ -366,39 +387,59 @@ def _num(path: str) -> str:
     return _NUM.replace("m::", f"(j->>'{path}')::").replace("(m,", f"(j->>'{path}',")
 
 
-@query(f"""
-WITH r AS (SELECT extraction_id, url, {_J} AS j FROM raw_extractions)
-SELECT extraction_id, j->>'$.parties.target' AS target, j->>'$.parties.acquirer' AS acquirer, {_num("$.money.upfront_value")} AS upfront_value,
-  {_num("$.money.contingent_payment")} AS contingent_payment, CASE WHEN list_contains(json_keys(j), 'stage') THEN j->>'$.stage' ELSE 'unknown' END AS stage,
-  CASE WHEN list_contains(json_keys(j), 'asset_focus') THEN j->>'$.asset_focus' ELSE 'Undisclosed' END AS asset_focus, j->>'$.geography' AS geography
-FROM r
-""")
+_PARSED = _FOUND + f""",
+m AS (SELECT extraction_id, j, coalesce(j->>'$.url', url) AS url, j->>'$.parties.target' AS target, j->>'$.parties.acquirer' AS acquirer, {_num("$.money.upfront_value")} AS upfront_value, {_num("$.money.contingent_payment")} AS contingent_payment,
+  {_num("$.money.total_deal_value")} AS stated, j->>'$.money.currency' AS said, j->>'$.deal_type' AS deal_type, j->>'$.date_announced' AS date_announced, coalesce(j->>'$.key_evidence', '') AS evidence, j->>'$.geography' AS geography,
+  CASE WHEN list_contains(json_keys(j), 'stage') THEN j->>'$.stage' ELSE 'unknown' END AS stage, CASE WHEN list_contains(json_keys(j), 'asset_focus') THEN j->>'$.asset_focus' ELSE 'Undisclosed' END AS asset_focus,
+  CASE WHEN list_contains(json_keys(j), 'confidence') THEN j->>'$.confidence' ELSE 'medium' END AS sure FROM r),
+e AS (SELECT *, CASE WHEN coalesce(upfront_value, contingent_payment, stated) IS NULL THEN evidence ELSE '' END AS told FROM m),
+t AS (SELECT *, regexp_extract(told, '{_AMOUNT}', 1) AS s, regexp_extract(told, '{_AMOUNT}', 2) AS n, lower(regexp_extract(told, '{_AMOUNT}', 3)) AS u FROM e),
+p AS (SELECT *, coalesce(stated, CASE WHEN n <> '' THEN n::DOUBLE * CASE WHEN u IN ('b', 'billion') THEN 1000 ELSE 1 END END, upfront_value + contingent_payment) AS total_deal_value,
+  CASE WHEN n <> '' THEN CASE s WHEN '€' THEN 'EUR' WHEN '£' THEN 'GBP' WHEN '¥' THEN 'JPY' ELSE 'USD' END ELSE coalesce(said, 'USD') END AS currency FROM t)
+"""
+
+
+@query(_PARSED + "SELECT extraction_id, target, acquirer, upfront_value, contingent_payment, total_deal_value, currency, stage, asset_focus, geography FROM p")
 def parse_extractions(t):
-    return extractions.parsed(t("raw_extractions")).select("extraction_id", "target", "acquirer", "upfront_value", "contingent_payment", "stage", "asset_focus", "geography")
+    return extractions.parsed(t("raw_extractions")).select("extraction_id", "target", "acquirer", "upfront_value", "contingent_payment", "total_deal_value", "currency", "stage", "asset_focus", "geography")
 
 
-@query()
+@query(_PARSED + r""",
+v AS (SELECT *, CASE WHEN regexp_matches(date_announced, '^\d{4}-\d{2}-\d{2}([T ].*)?$') THEN try_cast(substr(date_announced, 1, 10) AS DATE) END AS d FROM p)
+SELECT extraction_id, d::VARCHAR AS day, nullif(total_deal_value, 0) AS total_deal_value, coalesce(abs(total_deal_value - upfront_value - contingent_payment) > 1, false) AS total_mismatch,
+  CASE sure WHEN 'high' THEN 0.9 WHEN 'low' THEN 0.5 ELSE 0.7 END::DOUBLE AS confidence,
+  CASE WHEN j IS NULL THEN 'null_extraction' WHEN url IS NULL THEN 'parse_failed'
+    WHEN target IS NULL OR acquirer IS NULL OR d IS NULL OR coalesce(deal_type, '') NOT IN ('M&A', 'partnership', 'licensing', 'option-to-license') OR stage IS NULL OR asset_focus IS NULL OR NOT regexp_matches(url, '(?i)^https?://[^/]+') THEN 'model_error' END AS reject_reason
+FROM v
+""")
 def route_rejects(t):
     rows = extractions.validated(extractions.parsed(t("raw_extractions")))
     return rows.select("extraction_id", "reject_reason", F.col("day").cast("string").alias("day"), "total_deal_value", "total_mismatch", extractions.confidence_value(F.col("confidence")).cast("double").alias("confidence"))
 
 
-@query(r"""
-SELECT deal_id, CASE WHEN deal_type_detailed = 'M&A' THEN 'M&A' ELSE 'Partnership' END AS kind, nullif(upfront_value_usd::DOUBLE, 0) AS upfront, nullif(total_deal_value_usd::DOUBLE, 0) AS total,
-  CASE WHEN needs_review THEN 'TRUE' ELSE 'FALSE' END AS needs_review FROM deals
-""")
+_SHEET = {
+    "date_announced": "date_announced::VARCHAR", "target": "target", "acquirer": "acquirer", "upfront_value_usd": "nullif(upfront_value_usd::DOUBLE, 0)", "contingent_payment_usd": "nullif(contingent_payment_usd::DOUBLE, 0)",
+    "total_deal_value_usd": "nullif(total_deal_value_usd::DOUBLE, 0)", "upfront_pct_total": "nullif(upfront_pct_total::DOUBLE, 0)", "stage": "stage", "therapeutic_area": "therapeutic_area", "secondary_areas": "secondary_areas", "asset_focus": "asset_focus",
+    "deal_type": "CASE WHEN deal_type_detailed = 'M&A' THEN 'M&A' ELSE 'Partnership' END", "geography": "geography", "source_url": "source_url", "needs_review": "CASE WHEN needs_review THEN 'TRUE' ELSE 'FALSE' END",
+}
+
+
+@query("SELECT deal_id, " + ", ".join(f'{e} AS "{c}"' for c, e in _SHEET.items()) + " FROM deals")
 def sheet_columns(t):
-    rows = t("deals")
-    sheet = sheets.sheet_rows(rows.withColumn("related_urls", F.lit(None)).withColumn("asset_focus", F.col("deal_id").cast("string")))
-    return sheet.select(F.col("`Asset / Focus`").cast("bigint").alias("deal_id"), F.col("`Deal Type (M&A or Partnership)`").alias("kind"), F.col("`Upfront Value (M USD)`").alias("upfront"), F.col("`Total Deal Value (M USD)`").alias("total"), F.col("`Needs Review`").alias("needs_review"))
+    sheet = sheets.sheet_rows(t("deals"), ["deal_id"])
+    return sheet.select("deal_id", *(F.col(f"`{h}`").alias(c) for h, c in sheets.HEADERS.items()))
 
 
-@query("SELECT header, width FROM (SELECT least(greatest(max(length(coalesce(target, ''))), 16) + 2, 50)::BIGINT AS a, least(greatest(max(length(coalesce(acquirer, ''))), 18) + 2, 50)::BIGINT AS b FROM deals), LATERAL (SELECT unnest(['Target / Partner', 'Acquirer / Partner']) AS header, unnest([a, b]) AS width)")
+@query(" UNION ALL ".join(f"SELECT '{h}' AS header, least(greatest(coalesce(max(length({_SHEET[c]})), 0), {len(h)}) + 2, 50)::BIGINT AS width FROM deals" for h, c in sheets.HEADERS.items() if not c.endswith(("_usd", "_total"))))
 def sheet_widths(t):
-    return sheets.column_widths(sheets.sheet_rows(t("deals")).select("Target / Partner", "Acquirer / Partner"))
+    told = [h for h, c in sheets.HEADERS.items() if not c.endswith(("_usd", "_total"))]
+    return sheets.column_widths(sheets.sheet_rows(t("deals")).select(*(F.col(f"`{h}`") for h in told)))
 
 
-@query()
+@query("""
+SELECT to_json({'canonical_key': canonical_key, 'source_url': source_url, 'related_urls': related_urls, 'evidence': json('{}'), 'detected_currency': detected_currency, 'fx_rate': nullif(fx_rate::DOUBLE, 0), 'fx_source': fx_source,
+  'confidence': confidence::DOUBLE, 'inclusion_reason': inclusion_reason, 'exclusion_reason': exclusion_reason, 'parser_version': parser_version, 'timestamp_utc': timestamp_utc})::VARCHAR AS value FROM deals
+""")
 def evidence_records(t):
     return sheets.evidence_lines(t("deals"))
 
@@ -421,9 +462,6 @@ def dates_in_text(t):
     return t("articles").where("content is not null").select("article_id", text.date_from_text(F.col("content")).alias("found"))
 
 
-_AMOUNT = r"(?i)([€£$¥])?\s*(\d+(?:\.\d+)?)\s*(million|billion|M|B)"
-
-
 @query(f"""
 WITH m AS (SELECT article_id, regexp_extract(content, '{_AMOUNT}', 1) AS s, regexp_extract(content, '{_AMOUNT}', 2) AS n, lower(regexp_extract(content, '{_AMOUNT}', 3)) AS u FROM articles WHERE content IS NOT NULL)
 SELECT article_id, round(n::DOUBLE * CASE WHEN u IN ('b', 'billion') THEN 1000 ELSE 1 END, 6) AS value, CASE s WHEN '€' THEN 'EUR' WHEN '£' THEN 'GBP' WHEN '¥' THEN 'JPY' ELSE 'USD' END AS currency FROM m WHERE n <> ''
@@ -493,7 +531,7 @@ def business_days(t):
     return t("deals").where(d.isNotNull()).select("deal_id", money.previous_business_day(d).cast("string").alias("business_day"), F.date_format(F.trunc(d, "month"), "yyyy-MM-dd").alias("month"))
 
 
-@query()
+@query(f"SELECT article_id, {_NORM.format(c='title')} AS title FROM articles")
 def normalized_titles(t):
     return t("articles").select("article_id", text.normalize_text("title").alias("title"))
 
@@ -502,11 +540,107 @@ def normalized_titles(t):
 def archive_pages(t):
     sites = t("sites")
     months = feeds.archive_months("/archives/{year}/{month}", "2021-01-15", "2022-06-10", sites.sparkSession)
-    hosts = sites.select("host", F.lit(1).alias("k"))
-    return hosts.join(months.withColumn("k", F.lit(1)), "k").select("host", "month", F.concat(F.lit("https://"), "host", "url").alias("url"))
+    # Months of a span are few: they are a column of every host, not a join.
+    every = months.agg(F.sort_array(F.collect_list(F.struct("month", "url"))).alias("m")).first()[0]
+    listed = F.explode(F.array(*(F.struct(F.lit(m.month).alias("month"), F.lit(m.url).alias("url")) for m in every)))
+    return sites.select("host", listed.alias("m")).select("host", "m.*").select("host", "month", F.concat(F.lit("https://"), "host", "url").alias("url"))
 
 
 @query(r"SELECT article_id, strftime(strptime(regexp_replace(published_date, '^[A-Za-z]{3}, ', ''), '%d %b %Y %H:%M:%S GMT'), '%Y-%m-%d %H:%M:%S') AS at FROM articles WHERE regexp_matches(published_date, '^[A-Z][a-z]{2}, \d{1,2} [A-Z][a-z]{2} \d{4} \d{2}:\d{2}:\d{2} GMT$')")
 def feed_times(t):
     p = F.col("published_date")
     return t("articles").where(p.rlike(r"^[A-Z][a-z]{2}, \d{1,2} [A-Z][a-z]{2} \d{4} \d{2}:\d{2}:\d{2} GMT$")).select("article_id", F.date_format(feeds.rfc_time(p), "yyyy-MM-dd HH:mm:ss").alias("at"))
+
+
+# Feeds, as XML and back
+
+_FEED_DAY = "CASE WHEN regexp_matches(published_date, '^\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}:\\d{2}Z$') THEN substr(published_date, 1, 10) END"
+
+
+def _feed_sql(source: str, title: str) -> str:
+    return f"SELECT trim(url) AS url, {title} AS title, {_FEED_DAY} AS published_date, '{source}' AS source FROM discovered_urls WHERE url IS NOT NULL AND source = '{source}' AND coalesce({_FEED_DAY}, '9') >= '2021-01-01'"
+
+
+def _as_xml(t, source: str, root: str, tag: str, cols: dict[str, str]) -> tuple[SparkSession, list[str]]:
+    """The urls of one source as a feed's XML in the shared folder."""
+    rows = t("discovered_urls").where(F.col("source") == source)
+    utc = F.when(F.col("published_date").rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"), F.to_timestamp("published_date"))
+    rows = rows.withColumns({"iso": F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss'Z'"), "rfc": F.date_format(utc, "EEE, d MMM yyyy HH:mm:ss 'GMT'"), "link": F.struct(F.col("url").alias("_href"))})
+    path = f"{shared_dir(rows.sparkSession)}/tidemark/{source}-{uuid.uuid4().hex}"
+    rows.select(*(F.col(c).alias(x) for x, c in cols.items())).write.format("xml").option("rootTag", root).option("rowTag", tag).save(path)
+    return rows.sparkSession, [path]
+
+
+@query(_feed_sql("RSS", "trim(coalesce(title, ''))"))
+def rss_entries(t):
+    return feeds.rss(*_as_xml(t, "RSS", "channel", "item", {"title": "title", "link": "url", "pubDate": "rfc"}), "2021-01-01")
+
+
+@query(_feed_sql("Atom", "trim(coalesce(title, ''))"))
+def atom_entries(t):
+    return feeds.atom(*_as_xml(t, "Atom", "feed", "entry", {"title": "title", "link": "link", "updated": "iso"}), "2021-01-01")
+
+
+@query(_feed_sql("Sitemap", "''"))
+def sitemap_entries(t):
+    return feeds.sitemap(*_as_xml(t, "Sitemap", "urlset", "url", {"loc": "url", "lastmod": "iso"}), "2021-01-01")
+
+
+# Single functions over whole columns
+
+
+@query("SELECT deal_id, CASE " + " ".join(f"WHEN lower(stage) IN ({', '.join(repr(w) for w in words)}) THEN '{name}'" for name, words in funnel.BUCKETS.items()) + " END AS bucket FROM deals")
+def stage_buckets(t):
+    return t("deals").select("deal_id", funnel.stage_bucket().alias("bucket"))
+
+
+@query("SELECT deal_id, array_to_string(list_filter(list_transform(string_split(secondary_areas, ';'), lambda x: trim(x)), lambda x: x <> ''), '|') AS keywords FROM deals WHERE secondary_areas IS NOT NULL")
+def checked_keywords(t):
+    words = filters.checked_keywords(F.split("secondary_areas", ";"))
+    return t("deals").where("secondary_areas is not null").select("deal_id", F.array_join(words, "|").alias("keywords"))
+
+
+@query(r"SELECT doc_id, array_to_string(list_filter(list_transform(string_split(regexp_replace(text, '[\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{001C}-\x{001F}]', ' ', 'g'), chr(10)), lambda x: regexp_replace(regexp_replace(x, '^\s+', ''), '\s+$', '')), lambda x: x <> ''), ' ') AS content FROM documents WHERE text IS NOT NULL")
+def html_texts(t):
+    """Each document as a page with a paragraph a line, read back as text."""
+    spaces = F.regexp_replace("text", r"[\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{001C}-\x{001F}]", " ")
+    escaped = F.replace(F.replace(spaces, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    page = F.concat(F.lit("<html><head><style>p {}</style></head><body><p>"), F.replace(escaped, F.lit("\n"), F.lit("</p><script>var a;</script><p>")), F.lit("</p></body></html>"))
+    return t("documents").where("text is not null").select("doc_id", text.html_text(page).alias("content"))
+
+
+@query(f"SELECT article_id, regexp_replace(url, '[^/]*$', '') AS section, regexp_matches(regexp_replace(coalesce(url, ''), '[^/]*$', ''), '(?i){_REJECT}') AS rejected FROM articles")
+def rejected_sections(t):
+    """The url's section, as a listing's url, by the patterns: some hit."""
+    return t("articles").withColumn("section", F.regexp_replace("url", "[^/]*$", "")).select("article_id", "section", filters.rejected_url("section").alias("rejected"))
+
+
+@query("""
+WITH d AS (SELECT count(*) AS total, count_if(embedding_status = 'pending')::BIGINT AS pending, count_if(embedding_status = 'failed')::BIGINT AS failed, count_if(embedding_status <> 'pending')::BIGINT AS processed FROM articles)
+SELECT total, pending, failed, processed, round(processed * 3600.0 / 1800, 4)::DOUBLE AS per_hour, CASE WHEN processed > 0 THEN round(pending * 1800.0 / processed, 4)::DOUBLE END AS eta_seconds FROM d
+""")
+def status_snapshot(t):
+    return tables.status_snapshot(t("articles"), 1800.0)
+
+
+@query("""
+WITH v AS (SELECT url, list(DISTINCT source) AS said FROM discovered_urls WHERE url IS NOT NULL GROUP BY url)
+SELECT url, len(said)::BIGINT AS yes_count, array_to_string(list_sort(said), '|') AS voters, len(said) >= 2 AS consensus FROM v
+""")
+def consensus_groups(t):
+    v = t("discovered_urls").where("url is not null").groupBy("url").agg(F.sort_array(F.collect_set("source")).alias("said"))
+    return v.select("url", F.size("said").cast("bigint").alias("yes_count"), F.array_join("said", "|").alias("voters"), (F.size("said") >= 2).alias("consensus"))
+
+
+@query("""
+WITH r AS (SELECT currency, DATE '2018-01-01' + (7 * i)::INTEGER AS day, (rate::DOUBLE * (1 + i / 1000.0)) AS rate FROM fx_rates, LATERAL (SELECT unnest(range(0, 400)) AS i))
+SELECT d.deal_id, upper(d.detected_currency) || '_' || d.date_announced::VARCHAR AS cache_key, round((SELECT arg_max(r.rate, r.day) FROM r WHERE r.currency = upper(d.detected_currency) AND r.day BETWEEN d.date_announced - 7 AND d.date_announced), 8) AS rate
+FROM deals d WHERE d.date_announced IS NOT NULL AND d.detected_currency IS NOT NULL
+""")
+def rates_as_of(t):
+    """Weekly rates made from the table, the latest of the week before each deal."""
+    weekly = t("fx_rates").select("currency", F.posexplode(F.sequence(F.lit(0), F.lit(399))).alias("i", "_i"), "rate")
+    weekly = weekly.select("currency", F.date_add(F.lit("2018-01-01").cast("date"), F.col("i") * 7).alias("day"), (F.col("rate").cast("double") * (1 + F.col("i") / 1000.0)).alias("rate"))
+    rows = t("deals").where("date_announced is not null and detected_currency is not null").select("deal_id", F.upper("detected_currency").alias("currency"), F.col("date_announced").alias("day"))
+    found = money.as_of(rows, weekly, "currency", "day", 7)
+    return found.select("deal_id", F.concat_ws("_", "currency", "day").alias("cache_key"), F.round("rate", 8).alias("rate"))

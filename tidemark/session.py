@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,22 +29,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Temporary folders of local applications without a shared one.
+_OWN: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir, or where it is unset in a local session (tests) a temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is unset: on a cluster it has to name a folder that all executors share")
+        app = spark.sparkContext.applicationId
+        if app not in _OWN:
+            _OWN[app] = "file://" + tempfile.mkdtemp(prefix="tidemark-")
+        found = _OWN[app]
     return found.rstrip("/")
 
 
+def _stages(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tidemark/{spark.sparkContext.applicationId}"
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Deletes the application's stages, once all results that rest on them are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_stages(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back.
 
     Cuts the lineage so that a lost executor costs a re-read and not a re-computation; columnar and
-    compressed, hence far smaller than a checkpoint of rows.
+    compressed, hence far smaller than a checkpoint of rows. Stages are in a folder of the application, which
+    drop_stages() deletes; a result that is still to be computed may read them.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    path = f"{_stages(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException, UnsupportedOperationException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,10 +53,29 @@ def sitemap(spark: SparkSession, paths: list[str], start: str | None = None) ->
     return _since(rows.select(F.trim("loc").alias("url"), F.lit("").alias("title"), iso_time(F.col("lastmod")).alias("ts"), F.lit("Sitemap").alias("source")), start)
 
 
-def sitemaps_of(spark: SparkSession, index: str, least_year: int | None = None, most: int = 10) -> list[str]:
-    """The sitemaps an index lists, old archives pruned, the first so many."""
-    rows = _xml(spark, [index], "sitemap", "loc string").where("loc is not null").select(F.trim("loc").alias("url"))
-    return [r.url for r in (recent_archives(rows, least_year) if least_year else rows).limit(most).collect()]
+def sitemaps_of(spark: SparkSession, index: str, least_year: int | None = None, most: int = 10, depth: int = 5) -> list[str]:
+    """The sitemaps under an index, indexes in it followed to a depth, old archives pruned, of each index the first so many by url.
+
+    An index met again is not followed again. What can't be read from here is a sitemap of pages as far as we know.
+    """
+    found, seen, level = [], {index}, [index]
+    for _ in range(depth):
+        below = []
+        for path in level:
+            try:
+                rows = _xml(spark, [path], "sitemap", "loc string").where("loc is not null").select(F.trim("loc").alias("url")).distinct()
+                listed = [r.url for r in (recent_archives(rows, least_year) if least_year else rows).orderBy("url").limit(most).collect()]
+            except (AnalysisException, UnsupportedOperationException):
+                if path == index:
+                    raise
+                listed = []
+            if not listed and path != index:
+                found.append(path)  # it lists pages
+            below += [u for u in listed if u not in seen and not seen.add(u)]
+        level = below
+        if not level:
+            break
+    return found + level
 
 
 def archive_months(pattern: str, start: str, end: str, spark: SparkSession) -> DataFrame:

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import io
-import os
 import zipfile
-from collections.abc import Iterator
 from xml.sax.saxutils import escape
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+
+from tidemark.operators.tables import numbered
 
 #: Headers in their order, and the columns below them. Fixed values.
 HEADERS = {
@@ -32,12 +32,12 @@ HEADERS = {
 }
 
 
-def sheet_rows(deals: DataFrame) -> DataFrame:
-    """Deals as the rows of a sheet: 15 columns, zero amounts blank, flags as TRUE or FALSE, two kinds."""
+def sheet_rows(deals: DataFrame, more: list[str] | tuple = ()) -> DataFrame:
+    """Deals as the rows of a sheet: 15 columns (and more, as they are), zero amounts blank, flags as TRUE or FALSE, two kinds."""
     kind = F.when(F.col("deal_type_detailed") == "M&A", "M&A").otherwise("Partnership")
     rows = deals.withColumn("deal_type", kind).withColumn("needs_review", F.when(F.col("needs_review"), "TRUE").otherwise("FALSE"))
     money = ("upfront_value_usd", "contingent_payment_usd", "total_deal_value_usd", "upfront_pct_total")
-    return rows.select(*(F.nullif(F.col(c).cast("double"), F.lit(0.0)).alias(h) if c in money else F.col(c).cast("string").alias(h) for h, c in HEADERS.items()))
+    return rows.select(*(F.nullif(F.col(c).cast("double"), F.lit(0.0)).alias(h) if c in money else F.col(c).cast("string").alias(h) for h, c in HEADERS.items()), *more)
 
 
 def column_widths(rows: DataFrame) -> DataFrame:
@@ -90,47 +90,43 @@ def workbook(headers: list[str], rows: list[tuple], sheet: str = "Deals") -> byt
     return out.getvalue()
 
 
-class _Part(WriterCommitMessage):
-    pass
-
-
-class _Writer(DataSourceWriter):
-    """One workbook a partition: a sheet is one file, so the caller coalesces what belongs into one."""
+#: Rows that a sheet holds at most, its header aside; more go to further workbooks.
+SHEET_ROWS = 1_000_000
 
-    def __init__(self, path: str, headers: list[str]):
-        self.path, self.headers = path, headers
 
-    def write(self, rows: Iterator) -> WriterCommitMessage:
-        from pyspark import TaskContext
+def workbooks(deals: DataFrame, bucket: str | None = None) -> DataFrame:
+    """bucket, part, data: the finished workbooks, each of a bucket's rows in order of their dates and urls."""
+    of = F.lit("") if bucket is None else F.col(bucket)
+    rows = sheet_rows(deals.where(of.isNotNull()).withColumn("_bucket", of), ["_bucket"])
+    headers = [c for c in rows.columns if c != "_bucket"]
+    by_bucket = numbered(rows, "_bucket", "`Date Announced`", "`Source URL`")
+    first = by_bucket.groupBy("_bucket").agg(F.min("position").alias("_first"))
+    placed = by_bucket.join(first, "_bucket").withColumn("_part", F.floor((F.col("position") - F.col("_first")) / SHEET_ROWS))
 
-        got = [tuple(r) for r in rows]
-        if got:
-            n = TaskContext.get().partitionId()
-            os.makedirs(self.path, exist_ok=True)
-            with open(f"{self.path}/part-{n:05d}.xlsx", "wb") as f:
-                f.write(workbook(self.headers, got))
-        return _Part()
+    def build(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("position")[headers].astype(object)
+        rows_ = [tuple(None if v is None or v is pd.NA or (isinstance(v, float) and v != v) else v for v in r) for r in pdf.itertuples(index=False)]
+        return pd.DataFrame({"bucket": [key[0]], "part": [int(key[1])], "data": [workbook(headers, rows_)]})
 
+    return placed.groupBy("_bucket", "_part").applyInPandas(build, "bucket string, part bigint, data binary")
 
-class SheetSource(DataSource):
-    """df.write.format('sheet').option('path', folder).mode('append').save()"""
 
-    @classmethod
-    def name(cls) -> str:
-        return "sheet"
+def write_sheets(deals: DataFrame, folder: str, bucket: str | None = None, name: str = "{bucket}/part-{part:05d}.xlsx") -> list[str]:
+    """One workbook, or one for each value of a column that has rows, through the Hadoop file system; returns their paths.
 
-    def writer(self, schema, overwrite: bool) -> DataSourceWriter:
-        return _Writer(self.options["path"], schema.names)
-
-
-def write_sheets(deals: DataFrame, folder: str, bucket: str | None = None) -> None:
-    """One workbook, or one for each value of a column that has rows."""
-    spark = deals.sparkSession
-    spark.dataSource.register(SheetSource)
-    groups = [None] if bucket is None else [r[0] for r in deals.where(F.col(bucket).isNotNull()).select(bucket).distinct().orderBy(bucket).collect()]
-    for g in groups:
-        part = deals if g is None else deals.where(F.col(bucket) == g)
-        sheet_rows(part).coalesce(1).write.format("sheet").option("path", folder if g is None else f"{folder}/{g}").mode("append").save()
+    The workbooks are made on the executors and come to the driver one at a time, as a sheet is one file of bounded rows.
+    """
+    spark, out = deals.sparkSession, []
+    for r in workbooks(deals, bucket).orderBy("bucket", "part").toLocalIterator():
+        path = f"{folder.rstrip('/')}/{name.format(bucket=r.bucket, part=r.part).lstrip('/')}"
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+        try:
+            stream.write(r.data)
+        finally:
+            stream.close()
+        out.append(path)
+    return out
 
 
 def evidence_lines(deals: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +37,35 @@ def resumed(spark: SparkSession, root: str, config: dict, name: str, make) -> Da
     return found if found is not None else write_stage(make(), root, config, name)
 
 
+def resumed_in_parts(rows: DataFrame, root: str, config: dict, name: str, make, key: str, size: int = 250) -> DataFrame:
+    """make(rows), kept in parts of about so many rows: a restart goes on after the last part that was finished.
+
+    Rows go to parts by a hash of their key, so that the parts are the same on every start.
+    """
+    path, spark = f"{root}/{stage_key(config)}/{name}", rows.sparkSession
+    parts_path = f"{path}/parts.json"
+    if not _exists(spark, parts_path):
+        parts = max(1, -(-rows.count() // size))
+        spark.createDataFrame([(parts,)], "parts int").write.mode("overwrite").json(parts_path)
+    parts = spark.read.schema("parts int").json(parts_path).first()[0]
+    part = F.pmod(F.xxhash64(key), F.lit(parts))
+    for k in range(parts):
+        if not _exists(spark, f"{path}/part={k}/_SUCCESS"):
+            make(rows.where(part == k)).write.mode("overwrite").parquet(f"{path}/part={k}")
+    return spark.read.parquet(*(f"{path}/part={k}" for k in range(parts)))
+
+
+def replace_table(df: DataFrame, path: str) -> None:
+    """Writes beside the table and takes its place when done: a failure leaves the old one."""
+    spark = df.sparkSession
+    new = f"{path}.new-{uuid.uuid4().hex}"
+    df.write.parquet(new)
+    at, to = spark._jvm.org.apache.hadoop.fs.Path(new), spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = to.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(to, True)
+    fs.rename(at, to)
+
+
 def clear_stages(spark: SparkSession, root: str, config: dict | None = None) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{stage_key(config)}" if config is not None else root)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
