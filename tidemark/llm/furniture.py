@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.lines import Cut, digest, headline_like, names_of, path_of, site_names, slot_paths
-from tidemark.session import stage
+from tidemark.session import stage, unstage
 
 #: A path wins on a host when the lower bound (95 %) of its share of the host's pages reaches this.
 SHARE = 0.10
@@ -164,7 +164,9 @@ def host_paths(articles: DataFrame) -> tuple[DataFrame, DataFrame]:
     many = ballot.where("sentence").groupBy("path").agg(F.count("*").alias("hosts"), F.sum("held").alias("held"), F.sum("told").alias("told"), F.count_if("head").alias("heads"), F.sum("n").alias("n"), F.bit_count(F.bit_or("tells")).alias("tells"))
     # Copies of one story repeat its sentences too, on however many hosts, but tell few stories.
     many = many.where((F.col("hosts") >= HOSTS) & (F.col("held") >= 3) & (F.col("tells") >= F.least(F.lit(16), F.col("n") / 4)) & (wilson_low(F.col("held"), F.col("told")) >= SENTENCE))
-    return won, stage(many.select("path", "hosts", (F.col("heads") >= FOLLOW * F.col("hosts")).alias("head")), "sentences")
+    many = stage(many.select("path", "hosts", (F.col("heads") >= FOLLOW * F.col("hosts")).alias("head")), "sentences")
+    unstage(votes)
+    return won, many
 
 
 class Winners:
@@ -227,6 +229,7 @@ def winners(articles: DataFrame) -> tuple[Winners, DataFrame | None]:
     by_host: dict[int, dict[int, bool]] = {}
     for r in paths.toLocalIterator():
         by_host.setdefault(r.host, {})[r.path] = r.head
+    unstage(paths, sentences)
     return Winners(by_host, known), None
 
 

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import stage
+from tidemark.session import stage, unstage
 
 #: Edits over a whole name; a swap of neighbours is one. Names this short allow one edit, shorter ones none.
 EDITS, ONE_EDIT_BELOW, NO_EDIT_BELOW = 2, 9, 5
@@ -292,10 +292,11 @@ def representatives(cores: DataFrame, links: DataFrame) -> DataFrame:
     at = stage(own.select("core", F.when(F.col("rank") < F.col("mine"), F.col("rank.c")).otherwise(F.col("core")).alias("org")), "org")
     while True:
         nxt = at.join(at.select(F.col("core").alias("org"), F.col("org").alias("further")), "org").select("core", F.col("further").alias("org"), (F.col("further") != F.col("org")).alias("moved"))
-        nxt = stage(nxt, "org")
-        at = nxt.select("core", "org")
-        if nxt.where("moved").isEmpty():
-            return at
+        done = at
+        at = stage(nxt, "org")
+        unstage(done)
+        if at.where("moved").isEmpty():
+            return at.select("core", "org")
 
 
 _PARSED = "name string, n bigint, core string, full_word string, part string, first boolean, kind string"
