@@ -70,11 +70,48 @@ def test_neighbours_against_brute_force(spark):
     assert vectors.neighbours(df.limit(0), df, 5).count() == 0
 
 
+def greedy_choice(order: list, near: dict, length: dict) -> list:
+    """The definition: the rows that stay, in the order they are told: in input order, an unseen row and its neighbours, seen or not,
+    give their longest (the first of several); all others count as seen; a longest seen before is not told again."""
+    seen: set = set()
+    out = []
+    for i in order:
+        if i in seen:
+            continue
+        group = [i, *near.get(i, [])]
+        best = group[0]
+        for j in group[1:]:
+            if length[j] > length[best]:
+                best = j
+        seen.update(j for j in group if j != best)
+        if best not in seen:
+            out.append(best)
+            seen.add(best)
+    return out
+
+
 def test_greedy_choice():
     length = {1: 5, 2: 9, 3: 7, 4: 1}
-    assert vectors.greedy_choice([1, 2, 3, 4], {1: [2], 2: [1, 3], 3: [2]}, length) == [2, 4]
-    assert vectors.greedy_choice([1], {}, length) == [1] and vectors.greedy_choice([], {}, {}) == []
-    assert vectors.greedy_choice([1, 4], {1: [4], 4: [1]}, {1: 3, 4: 3}) == [1]
+    assert greedy_choice([1, 2, 3, 4], {1: [2], 2: [1, 3], 3: [2]}, length) == [2, 4]
+    assert greedy_choice([1], {}, length) == [1] and greedy_choice([], {}, {}) == []
+    assert greedy_choice([1, 4], {1: [4], 4: [1]}, {1: 3, 4: 3}) == [1]
+
+
+def test_greedy_against_definition(spark):
+    """Random neighbours of 400 rows, hot ones and a long chain among them, against the choice row by row."""
+    rng = np.random.default_rng(11)
+    n = 400
+    length = [int(x) for x in rng.integers(0, 9, n)]
+    ord_ = [float(x) for x in rng.integers(0, 300, n)]
+    near = {i: [j for j in dict.fromkeys([int(x) for x in rng.integers(0, n, 4)] + ([7] if i % 3 == 0 else []) + ([i + 1] if i < 12 else [])) if j != i] for i in range(n) if i % 5}
+    order = sorted(range(n), key=lambda i: (ord_[i], i))
+    want = greedy_choice(order, near, dict(enumerate(length)))
+    rows = spark.createDataFrame([(i, ord_[i], length[i]) for i in range(n)], "id bigint, ord double, length bigint")
+    known = spark.createDataFrame([(i, j, 0.9, k + 1) for i, x in near.items() for k, j in enumerate(x)] + [(1, 2, 0.5, 9), (3, 3, 1.0, 0)], "query_id bigint, id bigint, similarity double, rank int")
+    got = [r.id for r in vectors.greedy_distinct(rows, near=known).orderBy("pos").collect()]
+    assert got == want
+    assert vectors.greedy_distinct(rows.limit(0), near=known.limit(0)).count() == 0
+
 
 
 def test_providers(spark, tmp_path):

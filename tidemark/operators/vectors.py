@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField, StructType
 
 from tidemark.operators import tables
+from tidemark.session import stage, unstage
 from tidemark.sources.stages import read_or_empty, replace_table
 
 #: Queries multiplied with the whole table at a time.
@@ -227,42 +228,40 @@ def near_neighbours(queries: DataFrame, index: DataFrame, centres: np.ndarray, k
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def greedy_choice(order: list, near: dict, length: dict) -> list:
-    """The rows that stay, in the order they are told: in input order, an unseen row and its neighbours, seen or not,
-    give their longest (the first of several); all others count as seen; a longest seen before is not told again."""
-    seen: set = set()
-    out = []
-    for i in order:
-        if i in seen:
-            continue
-        group = [i, *near.get(i, [])]
-        best = group[0]
-        for j in group[1:]:
-            if length[j] > length[best]:
-                best = j
-        seen.update(j for j in group if j != best)
-        if best not in seen:
-            out.append(best)
-            seen.add(best)
-    return out
-
-
-def greedy_distinct(rows: DataFrame, k: int = 20, above: float = 0.85) -> DataFrame:
-    """pos, kept id of the greedy choice among at most a few thousand rows (id, ord, length, embedding).
-
-    The choice goes row by row in input order and is not transitive, so it is one task by nature: the funnel bounds its
-    input to 1,000 rows, and more than 5,000 are refused.
+def greedy_distinct(rows: DataFrame, k: int = 20, above: float = 0.85, near: DataFrame | None = None) -> DataFrame:
+    """pos, kept id of the greedy choice among rows (id, ord, length, embedding); near: query_id, id, similarity, rank, if known.
+
+    By definition one row after the other in input order: a row not seen yet and its neighbours, seen or not, give their
+    longest (the first of several), all of them count as seen, and a longest seen before is not told again. So a row has its
+    turn if no earlier row with a turn has it as a neighbour, and its longest is told if no earlier turn's group holds that.
+    The first is decided in rounds for all rows whose earlier neighbours are decided, the second by a minimum: no task
+    has more than a share of the rows. Ties in ord go by id. Rows without a vector have no neighbours.
     """
-    n = rows.count()
-    if n > 5_000:
-        raise ValueError(f"greedy choice among {n} rows; bound the input first")
-    ids = rows.select(F.col("id").alias("vec_id"), "embedding")
-    near = neighbours(ids, ids, k).where(f"similarity > {above} and query_id <> id").groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("rank", "id"))).alias("near"))
-    packed = rows.select("id", "ord", "length").join(near, F.col("id") == F.col("query_id"), "left").select("id", "ord", "length", F.col("near.id").alias("near"), F.lit(1).alias("one"))
-
-    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ord")
-        kept = greedy_choice(pdf["id"].tolist(), {i: list(x) for i, x in zip(pdf["id"], pdf["near"]) if x is not None}, dict(zip(pdf["id"], pdf["length"])))
-        return pd.DataFrame({"pos": np.arange(len(kept)), "id": kept}).astype({"pos": "int64", "id": "int64"})
-
-    return packed.groupBy("one").applyInPandas(choose, "pos bigint, id bigint")
+    if near is None:
+        ids = rows.select(F.col("id").alias("vec_id"), "embedding")
+        near = neighbours(ids, ids, k)
+    own = stage(rows.select("id", F.struct("ord", "id").alias("o"), "length"), "rows")
+    known = near.where(f"similarity > {above} and query_id <> id")
+    edges = known.select(F.col("query_id").alias("src"), F.col("id").alias("dst"), "rank")
+    edges = edges.join(own.select(F.col("id").alias("src"), F.col("o").alias("src_o")), "src").join(own.select(F.col("id").alias("dst"), F.col("o").alias("dst_o"), F.col("length").alias("dst_length")), "dst")
+    edges = stage(edges, "edges")
+    before = edges.where("src_o < dst_o").select("src", "dst")
+    state = own.select("id", F.lit(None).cast("boolean").alias("turn"))
+    rounds = 0
+    while True:
+        told = before.join(state.select(F.col("id").alias("src"), "turn"), "src").groupBy(F.col("dst").alias("id")).agg(F.max(F.coalesce("turn", F.lit(False))).alias("taken"), F.max(F.col("turn").isNull()).alias("open"))
+        now = F.when(F.col("turn").isNotNull(), F.col("turn")).when(F.col("taken"), False).when(~F.coalesce("open", F.lit(False)), True)
+        done, state = state, stage(state.join(told, "id", "left").select("id", now.alias("turn")), "turns")
+        if rounds:
+            unstage(done)
+        rounds += 1
+        if state.where("turn is null").isEmpty():
+            break
+    turns = state.where("turn").select("id").join(own, "id")
+    members = turns.select(F.col("id").alias("src"), F.col("o").alias("src_o"), F.col("id").alias("dst"), "length", F.lit(0).alias("rank"))
+    members = members.unionByName(edges.join(turns.select(F.col("id").alias("src")), "src", "left_semi").select("src", "src_o", "dst", F.col("dst_length").alias("length"), "rank"))
+    members = stage(members, "groups")
+    first = members.groupBy(F.col("dst").alias("best")).agg(F.min("src_o").alias("first"))
+    best = members.groupBy("src").agg(F.max_by("dst", F.struct("length", -F.col("rank"))).alias("best"), F.first("src_o").alias("src_o"))
+    kept = best.join(first, "best").where(F.col("first") == F.col("src_o")).select(F.col("src_o.ord").alias("ord"), F.col("src").alias("by"), F.col("best").alias("id"))
+    return tables.numbered(kept, "ord", "by").select(F.col("position").cast("bigint").alias("pos"), "id")

@@ -66,4 +66,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{_stages(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._stage_path = path
+    return back
+
+
+def unstage(*staged: DataFrame) -> None:
+    """Deletes staged tables that nothing still to be computed reads."""
+    for df in staged:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stage_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
