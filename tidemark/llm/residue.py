@@ -99,7 +99,7 @@ def weak_label(field: str, text: str, lines: list[str]) -> int:
 
 
 def features(texts: list[str], titles: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """value number, feature number: hashed one- and two-grams of the text, of the title, and the length's class."""
+    """value number, feature number: hashed one- and two-grams of the text and of the title, and classes of lengths: of the text, of its longest line in words, and of its lines of twelve words or more."""
     mask = np.uint64((1 << BITS) - 1)
     rows, cols = [], []
     for seed, values in ((1, texts), (2, titles)):
@@ -109,8 +109,9 @@ def features(texts: list[str], titles: list[str]) -> tuple[np.ndarray, np.ndarra
             rows += [at, ga]
             cols += [mix(h + np.uint64(seed)) & mask, mix(g + np.uint64(seed * 7)) & mask]
     n = len(texts)
-    rows.append(np.arange(n))
-    cols.append(np.array([(1 << BITS) + min(15, len(t).bit_length()) for t in texts], np.uint64))
+    for k, length in enumerate((len, lambda t: max(x.count(" ") for x in t.split("\n")), lambda t: sum(x.count(" ") >= 11 for x in t.split("\n")))):
+        rows.append(np.arange(n))
+        cols.append(np.array([(1 << BITS) + 16 * k + min(15, length(t).bit_length()) for t in texts], np.uint64))
     return np.concatenate(rows), np.concatenate(cols).view(np.int64)
 
 
@@ -122,7 +123,7 @@ def row_norm(rows: np.ndarray, n: int) -> np.ndarray:
 class Linear:
     """Logistic regression with an L1 penalty; most weights are zero, so scoring touches few features."""
 
-    size = (1 << BITS) + 16
+    size = (1 << BITS) + 48
 
     def __init__(self):
         self.w, self.b, self.threshold = np.zeros(self.size, np.float32), 0.0, 0.5
@@ -240,7 +241,11 @@ def fit_field(values: Values, field: str) -> Linear:
         model.threshold = 1.0
         return model
     some = [k for k in np.flatnonzero(~back) if y[k]] + sorted((k for k in np.flatnonzero(~back) if not y[k]), key=lambda k: digest(f"{values.ids[at[k]]}"))[:FIT_OTHERS]
-    model.fit(*values.features([at[k] for k in some]), y[some])
+    used, labels = [at[k] for k in some], y[some]
+    if field != FIELDS[0]:  # few messages are residue: what is residue as content would be so here
+        more = [i for i in values.of(FIELDS[0]) if weak_label(FIELDS[0], values.texts[i], values.lines[i]) and digest(values.hosts[i]) % KEPT_BACK]
+        used, labels = used + more, np.concatenate([labels, np.ones(len(more))])
+    model.fit(*features([values.texts[i] for i in used], [values.titles[i] if field == FIELDS[0] else "" for i in used]), labels)
     kept = [i for i, b in zip(at, back) if b]
     return model.tuned(model.score(*values.features(kept), len(kept)), y[back]) if kept else model
 
