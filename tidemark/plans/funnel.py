@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.providers import Classifier, Embedder, Extractor, HashingEmbedder, KeywordClassifier, RuleExtractor, extract, quick_filter
 from tidemark.operators import extractions, filters, tables, vectors
 from tidemark.sources.sheets import write_sheets
-from tidemark.sources.stages import resumed
+from tidemark.sources.stages import resumed, resumed_in_parts
 
 #: Stages of development by the sheet they go to. Fixed values.
 BUCKETS = {
@@ -106,7 +106,7 @@ def run(articles: DataFrame, stored: DataFrame, config: Config, root: str, embed
         return passed.join(kept.select(F.col("id").alias("article_id"), "pos"), "article_id")
 
     kept = resumed(spark, root, key, "distinct", distinct)
-    replies = resumed(spark, root, key, "extracted", lambda: extract(kept, extractor or RuleExtractor()))
+    replies = resumed_in_parts(kept, root, key, "extracted", lambda rows: extract(rows, extractor or RuleExtractor()), "article_id")
     rows = extractions.validated(extractions.parsed(replies.withColumnRenamed("article_id", "extraction_id")))
     return rows.withColumn("bucket", stage_bucket())
 
