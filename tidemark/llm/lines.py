@@ -105,6 +105,12 @@ def _flags() -> np.ndarray:
     return out
 
 
+def _spaced(line: str) -> str:
+    """The line with white space as single spaces."""
+    s = line.strip()
+    return s if s.isprintable() and "  " not in s else " ".join(s.split())
+
+
 class Cut:
     """The lines of a batch of pages, each page's title first: digests of their paths, and how each is built.
 
@@ -118,7 +124,7 @@ class Cut:
         starts = [0]
         for title, content, names in pages:
             own = [" ".join(title.split()) if title else ""]
-            own += [" ".join(x.split()) for x in content.split("\n")] if content else []
+            own += map(_spaced, content.split("\n")) if content else ()
             lines += own
             text = "\n".join(own).lower()
             for n in names:

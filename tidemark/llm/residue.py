@@ -64,7 +64,13 @@ _WORD = re.compile(r"[^\W\d_]+")
 _HINT = re.compile(r"[{\[<%]|\$[{$]|#\{|__|@@|TODO")
 
 
+#: One of these stands in every text with a placeholder.
+_SIGNS = ("{", "[", "<", "%", "$$", "__", "@@", "TODO", "undefined")
+
+
 def has_placeholder(text: str) -> bool:
+    if not any(x in text for x in _SIGNS):
+        return False
     if any(PLACEHOLDER.match(text, m.start()) for m in _HINT.finditer(text)):
         return True
     for m in _UNDEFINED.finditer(text):
