@@ -344,6 +344,21 @@ def test_hot_group(spark, monkeypatch):
     assert {k: rows[k][2] for k in reps} == want
 
 
+def test_copies_cost_no_candidates(spark, monkeypatch):
+    """However often rows are repeated, different texts alone are counted, cut into classes and posted, by whichever list of ids is short."""
+    sets = gram_sets(list(range(40)), random_copies(9, 40, most=0.6))
+    sets = sets[~sets["equal"].duplicated()]
+    seen = []
+    real = near.candidates
+    monkeypatch.setattr(near, "candidates", lambda rows, sketch, total: seen.append((sorted(r.article_id for r in rows.collect()), bytes(sketch.value), total)) or real(rows, sketch, total))
+    links = sorted(map(tuple, near.links_of_sets(spark.createDataFrame(sets, near._SETS))[1].collect()))
+    repeated = spark.createDataFrame(pd.concat([sets.assign(article_id=sets["article_id"] + 1000 * k) for k in range(5)]), near._SETS)
+    for sent in (near.SENT_IDS, 100, 0):
+        monkeypatch.setattr(near, "SENT_IDS", sent)
+        assert sorted(map(tuple, near.links_of_sets(repeated)[1].collect())) == links
+    assert links and len(seen) == 4 and all(x == seen[0] for x in seen)
+
+
 def test_near_copies_leave_furniture_out(spark):
     copy = pages(spark).where("article_id = 3").first()
     extra = [(60, "https://www.left-paper.org/60", copy.title, copy.content.replace("Our pages: all news, all day", "Weather | Traffic | Sports"), "Left Paper", None, "", 0)]
